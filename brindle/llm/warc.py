@@ -21,6 +21,8 @@ URN = "urn:page:"
 #: An archive is closed once it is so large.
 ARCHIVE_BYTES = 256 << 20
 READ_BYTES = 1 << 16
+#: At most so many tasks read archives.
+READ_TASKS = 10_000
 #: Copies of one payload are dealt to so many tasks in the join with the payload's response.
 SALTS = 32
 
@@ -198,7 +200,8 @@ def read(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _RECORD_ARROW)
 
-    return archives.repartition(F.col("path")).mapInArrow(run, RECORD)
+    # a number of our own: Spark would merge the few rows that name many archives into one task
+    return archives.repartition(max(1, min(archives.count(), READ_TASKS)), "path").mapInArrow(run, RECORD)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
