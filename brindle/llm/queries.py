@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from brindle.llm.decontaminate import op4_decontaminate
 from brindle.llm.mixing import op5_mixing
 from brindle.llm.warc import op9_warc
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op9_warc": op9_warc,
 }
