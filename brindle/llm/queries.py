@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from brindle.llm.decontaminate import op4_decontaminate
 from brindle.llm.mixing import op5_mixing
+from brindle.llm.quality import op8_quality
+from brindle.llm.toxicity import op3_toxicity
 from brindle.llm.warc import op9_warc
 
 QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
+    "op3_toxicity": op3_toxicity,
+    "op8_quality": op8_quality,
     "op9_warc": op9_warc,
 }
 
