@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,38 +17,57 @@ from brindle.llm.quality import held_out, sampled
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Bounds of the training sample (by a hash of doc_id) and of the words that the classifiers see.
-MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS, MIN_DOCS = 6_000, 12_000, 2_000, 3
+MAX_POSITIVE, MAX_UNLABELLED, MAX_TERMS, MIN_DOCS = 4_000, 8_000, 300, 5
+#: A term is a word or, with a dash at its end, the beginning of longer ones, of these lengths.
+STEMS = (4, 5, 6)
+#: The share of a text's words at which a term counts by half: where terms are chosen, and in the two inputs that a
+#: classifier has for each, the first nearly whether the term is there at all.
+HALF, LOW, HIGH = 0.004, 0.0005, 0.01
 #: Classifiers, each fitted in a task of its own on three quarters of the sample; their scores are averaged.
-MODELS, EPOCHS, RATE, DECAY = 3, 300, 0.05, 1e-4
+MODELS, EPOCHS, RATE, DECAY = 3, 600, 0.1, 1e-4
 
 
-def bag(text: str | None) -> set[str]:
-    return set(WORD.findall((text or "").lower()))
+def counts(text: str | None, vocabulary: dict[str, int] | None = None) -> tuple[dict, int]:
+    """How often the text holds each term (of those in the vocabulary, by number), and its number of words."""
+    count: dict = defaultdict(int)
+    found = Counter(WORD.findall((text or "").lower()))
+    for w, k in found.items():
+        for t in (w, *(f"{w[:c]}-" for c in STEMS if len(w) > c)):
+            if vocabulary is None:
+                count[t] += k
+            elif (i := vocabulary.get(t)) is not None:
+                count[i] += k
+    return count, sum(found.values())
 
 
-def ragged(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Column indices of all rows one after another, and the row of each."""
-    return np.array([i for r in rows for i in r], np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def inputs(text: str | None, vocabulary: dict[str, int]) -> dict[int, float]:
+    count, n = counts(text, vocabulary)
+    return {i + len(vocabulary) * high: k / (k + (HIGH if high else LOW) * n) for i, k in count.items() for high in (0, 1)}
 
 
-def fit(positive: list[list[int]], unlabelled: list[list[int]], width: int, prior: float) -> np.ndarray:
+def ragged(rows: list[dict[int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns and values of all rows one after another, and the row of each."""
+    return np.array([i for r in rows for i in r], np.int64), np.array([x for r in rows for x in r.values()]), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+
+def fit(positive: list[dict], unlabelled: list[dict], width: int, prior: float) -> np.ndarray:
     """Weights (the last is the bias) that minimise the non-negative risk of the logistic loss by Adam.
 
     risk = prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]); where the second part is below 0, the step
     goes up it instead, so that the classifier doesn't fit unlabelled examples as negatives beyond the prior.
     """
-    (pi, pr), (ui, ur) = ragged(positive), ragged(unlabelled)
+    (pi, px, pr), (ui, ux, ur) = ragged(positive), ragged(unlabelled)
     np_, nu = max(len(positive), 1), max(len(unlabelled), 1)
     w, m, v = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     w[-1] = np.log(prior / (1 - prior))
-    logit = lambda i, r, n: np.bincount(r, w[i], n) + w[-1]
-    grad = lambda i, r, g: np.append(np.bincount(i, g[r], width), g.sum())
+    logit = lambda i, x, r, n: np.bincount(r, w[i] * x, n) + w[-1]
+    grad = lambda i, x, r, g: np.append(np.bincount(i, g[r] * x, width), g.sum())
     for t in range(1, EPOCHS + 1):
-        zp, zu = logit(pi, pr, np_), logit(ui, ur, nu)
+        zp, zu = logit(pi, px, pr, np_), logit(ui, ux, ur, nu)
         sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_negative = grad(ui, ur, su) / nu - prior * grad(pi, pr, sp) / np_
-        g = prior * grad(pi, pr, sp - 1) / np_ + of_negative if negative >= 0 else -of_negative
+        of_negative = grad(ui, ux, ur, su) / nu - prior * grad(pi, px, pr, sp) / np_
+        g = prior * grad(pi, px, pr, sp - 1) / np_ + of_negative if negative >= 0 else -of_negative
         g[:-1] += DECAY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -58,8 +78,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
     """doc_id, held_out, score and predicted of each document.
 
     Confirmed toxic documents outside the held-out remainder are the positives; other documents outside it are
-    unlabelled text. The class prior is the share of toxic labels there. The classifiers see which words a whole
-    text holds, of the MAX_WORDS whose share of documents differs most between the two samples. Null labels don't
+    unlabelled text. The class prior is the share of toxic labels there. The classifiers see how
+    often a whole text holds each of MAX_TERMS words and beginnings of words whose weight differs most between the
+    two samples. Null labels don't
     count; a document with several labels is positive if one is. Null and empty texts have no words and score as
     the bias says. Without positives the score is 0, or 1 if all labels are toxic. Repeated rows are scored each;
     an empty table gives no rows. Further columns are passed over.
@@ -68,29 +89,37 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
     prior = known.agg(F.avg("toxic")).first()[0]
     vocabulary, models = {}, []
     if prior and prior < 1:
-        toxic = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1")
-        positive = sampled(toxic.select("doc_id"), MAX_POSITIVE)
+        confirmed = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1")
+        positive = sampled(confirmed.select("doc_id"), MAX_POSITIVE)
         text = docs.select("doc_id", "text").filter(~held_out(mod, rest))
-        other = sampled(text.join(toxic, "doc_id", "left_anti").select("doc_id"), MAX_UNLABELLED).distinct()
+        other = sampled(text.join(confirmed, "doc_id", "left_anti").select("doc_id"), MAX_UNLABELLED).distinct()
         chosen = positive.withColumn("p", F.lit(1)).unionByName(other.withColumn("p", F.lit(0)))
 
-        def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "p"), pa.array([sorted(bag(t.as_py())) for t in column(b, "text")], pa.list_(pa.string()))], names=["doc_id", "p", "words"])
-
-        kind = dict(docs.dtypes)["doc_id"]
-        sample = written(text.join(chosen, "doc_id").select("doc_id", "p", "text").mapInArrow(bags, f"doc_id {kind}, p int, words array<string>"), "toxicity-sample")
+        sample = written(text.join(chosen, "doc_id").select("doc_id", "p", "text"), "toxicity-sample")
         n = sample.agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("u")).first()
         if n.p and n.u:
-            df = sample.select("p", F.explode("words").alias("word")).groupBy("word").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("u"))
-            apart = F.abs(F.col("p") / n.p - F.col("u") / n.u) / F.sqrt((F.col("p") + F.col("u")) / (n.p + n.u))
-            top = df.filter(F.col("p") + F.col("u") >= MIN_DOCS).orderBy(apart.desc(), "word").limit(MAX_WORDS).collect()
-            vocabulary = {r.word: i for i, r in enumerate(top)}
+
+            def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    by: dict = defaultdict(lambda: [0.0, 0.0, 0])
+                    for p, t in zip(column(b, "p").to_pylist(), column(b, "text"), strict=True):
+                        count, words = counts(t.as_py())
+                        for term, k in count.items():
+                            got = by[term]
+                            got[1 - p] += k / (k + HALF * words)
+                            got[2] += 1
+                    p, u, docs_ = zip(*by.values(), strict=True) if by else ((), (), ())
+                    yield pa.RecordBatch.from_pydict({"term": list(by), "p": pa.array(p, pa.float64()), "u": pa.array(u, pa.float64()), "docs": pa.array(docs_, pa.int64())})
+
+            by = sample.mapInArrow(sums, "term string, p double, u double, docs long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("u").alias("u"), F.sum("docs").alias("docs"))
+            apart = F.abs(F.col("p") / n.p - F.col("u") / n.u) / F.sqrt((F.col("p") + F.col("u")) / (n.p + n.u) + 1 / n.p)
+            top = by.filter(F.col("docs") >= MIN_DOCS).orderBy(apart.desc(), "term").limit(MAX_TERMS).select("term").collect()
+            vocabulary = {r.term: i for i, r in enumerate(top)}
 
             def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-                rows = [[vocabulary[w] for w in words if w in vocabulary] for words in pdf.words]
+                rows = [inputs(t, vocabulary) for t in pdf.text]
                 p = pdf.p.to_numpy() == 1
-                w = fit([r for r, x in zip(rows, p, strict=True) if x], [r for r, x in zip(rows, p, strict=True) if not x], len(vocabulary), prior)
+                w = fit([r for r, x in zip(rows, p, strict=True) if x], [r for r, x in zip(rows, p, strict=True) if not x], 2 * len(vocabulary), prior)
                 return pd.DataFrame({"w": [w.tolist()]})
 
             part = F.pmod(F.xxhash64("doc_id", F.lit("bag")), F.lit(MODELS + 1))
@@ -104,8 +133,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
             out = np.full(b.num_rows, constant)
             if stack is not None:
                 for i, t in enumerate(column(b, "text")):
-                    at = [vocabulary[w] for w in bag(t.as_py()) if w in vocabulary]
-                    out[i] = (1 / (1 + np.exp(-np.clip(stack[:, at].sum(1) + stack[:, -1], -30, 30)))).mean()
+                    x = inputs(t.as_py(), vocabulary)
+                    out[i] = (1 / (1 + np.exp(-np.clip(stack[:, list(x)] @ np.array(list(x.values())) + stack[:, -1], -30, 30)))).mean()
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(out)], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
