@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from brindle.llm.ann import op6_nearest
 from brindle.llm.decontaminate import op4_decontaminate
 from brindle.llm.mixing import op5_mixing
+from brindle.llm.pii import op2_pii
 from brindle.llm.quality import op8_quality
 from brindle.llm.toxicity import op3_toxicity
 from brindle.llm.warc import op9_warc
 
 QUERIES = {
+    "op2_pii": op2_pii,
+    "op6_nearest": op6_nearest,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op3_toxicity": op3_toxicity,
