@@ -7,10 +7,12 @@ from brindle.llm.decontaminate import op4_decontaminate
 from brindle.llm.mixing import op5_mixing
 from brindle.llm.pii import op2_pii
 from brindle.llm.quality import op8_quality
+from brindle.llm.repeats import op1_suffix, op10_substring
 from brindle.llm.toxicity import op3_toxicity
 from brindle.llm.warc import op9_warc
 
 QUERIES = {
+    "op1_suffix": op1_suffix,
     "op2_pii": op2_pii,
     "op6_nearest": op6_nearest,
     "op4_decontaminate": op4_decontaminate,
@@ -18,6 +20,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
+    "op10_substring": op10_substring,
 }
 
 ORACLE_SQL = {}
