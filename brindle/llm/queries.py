@@ -5,6 +5,7 @@ from __future__ import annotations
 from brindle.llm.ann import op6_nearest
 from brindle.llm.decontaminate import op4_decontaminate
 from brindle.llm.mixing import op5_mixing
+from brindle.llm.neardup import op7_neardup
 from brindle.llm.pii import op2_pii
 from brindle.llm.quality import op8_quality
 from brindle.llm.repeats import op1_suffix, op10_substring
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op3_toxicity": op3_toxicity,
+    "op7_neardup": op7_neardup,
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_substring": op10_substring,
