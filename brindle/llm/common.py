@@ -1,18 +1,14 @@
-"""What the operators share: written tables in the shared folder, and batches of texts."""
+"""What the operators share: written tables in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-
-#: Texts are taken to numpy in pieces of about so many bytes; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 20
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,33 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
-
-
-def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about PIECE_BYTES each."""
-    if not len(texts):
-        return
-    ends = np.cumsum(lengths(texts))
-    at = 0
-    while at < len(texts):
-        base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + PIECE_BYTES, side="right")))
-        yield at, to
-        at = to
+def joined(docs: DataFrame, found: DataFrame, how: str, more: list[str] | None = None) -> DataFrame:
+    """docs joined to an operator's result by document (doc_id and text_hash), null ids too, with the result's columns in more."""
+    found = found.select(F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash"), *(more or [])).dropDuplicates(["_of", "_hash"])
+    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_of")) & (F.xxhash64(docs["text"]) == F.col("_hash")), how).drop("_of", "_hash")
 
 
-def lengths(texts: pa.Array) -> np.ndarray:
-    """UTF-8 bytes of each text; null is empty."""
-    return np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
-
-
-def joined_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of the texts one after another, and where each text starts (one more entry for the end)."""
-    at = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(x) for x in texts], out=at[1:])
-    return np.frombuffer(b"".join(texts), np.uint8), at
+def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

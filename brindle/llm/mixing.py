@@ -38,7 +38,7 @@ def bucket(k: int) -> Column:
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken, a row for each document.
+    """doc_id, text_hash, source, size, source_size, target and taken, a row for each document.
 
     Sources in order of code points, null last, get the weights by turns. Each document is taken whole as often
     as target / source_size allows for all; the rest of the budget goes to the documents with the smallest hashes
@@ -48,7 +48,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     Null texts have size 0; sources without words get target 0; no rows give none. Further columns are passed over.
     """
     base = written(
-        docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("hash")),
+        docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("hash")),
         "mix-sizes",
     )
     spark = docs.sparkSession
@@ -84,8 +84,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     extra = reduce(lambda inner, k: F.when(F.col(f"edge{k}").isNull() | (bucket(k) < F.col(f"edge{k}")), F.col("size")).when(bucket(k) > F.col(f"edge{k}"), F.lit(0)).otherwise(inner), reversed(range(rounds)), share_of)
     p = written(plan, "mix-plan").withColumnRenamed("source", "s")
     extra = F.when(F.col("budget") <= 0, F.lit(0)).otherwise(extra)
-    return base.join(p, base.source.eqNullSafe(p.s)).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times") + extra).cast("long").alias("taken"))
+    return base.join(p, base.source.eqNullSafe(p.s)).select("doc_id", "text_hash", "source", "size", "source_size", "target", (F.col("size") * F.col("times") + extra).cast("long").alias("taken"))
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("source")
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("source", "text_hash")

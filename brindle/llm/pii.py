@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column, written
+from brindle.llm.common import column, joined, written
 
 #: The base kinds in the order in which spans that start together are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -98,10 +97,6 @@ def places(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, i
         yield a, b, kind, text[a:b], [f"L {l2} {l1} | {sh}", f"B {l1} _ {r1} | {sh}"]
 
 
-def joined(spans: list[tuple[int, str, int]]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
-
-
 def scored(edges: DataFrame) -> DataFrame:
     """kind of each instance that the patterns discover, from edges (pattern, instance, kind).
 
@@ -158,11 +153,9 @@ def find(docs: DataFrame) -> DataFrame:
 
 def masked(docs: DataFrame) -> DataFrame:
     """docs with each span of personal data in the text replaced by its kind in angle brackets; overlapping ones
-    as one, by the kind that starts first. All columns stay.
+    as one, by the kind that starts first. All columns stay; docs has no column spans of its own.
     """
-    spans = find(docs).groupBy("doc_id", "text_hash").agg(F.first("spans").alias("spans")).filter(F.size("spans") > 0)
-    left = docs.withColumn("text_hash", F.xxhash64("text"))
-    both = left.join(spans.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("h"), "spans"), left.doc_id.eqNullSafe(F.col("of")) & (left.text_hash == F.col("h")), "left")
+    both = joined(docs, find(docs).filter(F.size("spans") > 0), "left", ["spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
