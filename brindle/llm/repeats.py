@@ -127,9 +127,18 @@ def seeds_of(docs: DataFrame, units: Callable, size: int, gram: int) -> DataFram
                 yield packed(out)
 
     def packed(out: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["seed", "stretch", "lo", "hi", "ref"])
+        """A third and further run of one stretch in a batch surely repeats: it goes under a seed of its own and
+        counts double, so that a stretch that fills many texts doesn't fill one task.
+        """
+        seed, stretch, lo, hi, ref = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((stretch, seed))
+        same = (np.diff(seed[order]) == 0) & (np.diff(stretch[order]) == 0)
+        sure = np.zeros(len(seed), bool)
+        sure[order[2:]] = same[1:] & same[:-1]
+        own = mixed(mixed(ref.view(np.uint64)) + lo.astype(np.uint64)).view(np.int64)
+        return pa.RecordBatch.from_arrays([*map(pa.array, (np.where(sure, own, seed), stretch, lo, hi, ref, sure.astype(np.int32) + 1))], names=["seed", "stretch", "lo", "hi", "ref", "weight"])
 
-    return docs.select("ref", "text").mapInArrow(run, "seed long, stretch long, lo int, hi int, ref long")
+    return docs.select("ref", "text").mapInArrow(run, "seed long, stretch long, lo int, hi int, ref long, weight int")
 
 
 def marked(found: DataFrame) -> DataFrame:
@@ -138,9 +147,9 @@ def marked(found: DataFrame) -> DataFrame:
     where such a run shares the seed.
     """
     same = Window.partitionBy("seed", "stretch")
-    rows = found.withColumn("n", F.count(F.lit(1)).over(same)).withColumn("first", F.row_number().over(same.orderBy("ref", "lo")) == 1)
+    rows = found.withColumn("n", F.sum("weight").over(same)).withColumn("first", F.row_number().over(same.orderBy("ref", "lo")) == 1)
     by_seed = Window.partitionBy("seed")
-    rows = rows.withColumn("all", F.count(F.lit(1)).over(by_seed)).withColumn("alone", F.max((F.col("n") == 1).cast("int")).over(by_seed))
+    rows = rows.withColumn("all", F.sum("weight").over(by_seed)).withColumn("alone", F.max((F.col("n") == 1).cast("int")).over(by_seed))
     rows = rows.filter("all > 1")
     return rows.select("ref", "seed", "lo", "hi", (F.col("n") > 1).alias("whole"), ((F.col("alone") == 1) & F.col("first")).alias("open"))
 
