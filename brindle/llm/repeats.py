@@ -168,7 +168,7 @@ def remove(docs: DataFrame, size: int, gram: int, words: bool, digest: bool = Fa
     A unit goes if a window of ``size`` units that covers it also starts anywhere else, in any text or the same one;
     spans are the maximal runs of units that go, end exclusive. Null texts are empty; texts shorter than a window
     lose nothing; repeated rows are copies of each other and lose all that windows cover; an empty table gives no
-    rows. Further columns are passed over. Equality is that of 128 bits of hash (seed and window).
+    rows. Further columns are passed over. Equality is that of 96 bits of hash (of the window and half of its seed).
     """
     units = word_units if words else byte_units
     kind = dict(docs.dtypes)["doc_id"]
@@ -219,7 +219,7 @@ def remove(docs: DataFrame, size: int, gram: int, words: bool, digest: bool = Fa
     state = written(joined.mapInArrow(first, head + of_result + ", data binary, covered array<struct<start:int,end:int>>, todo array<struct<lo:int,hi:int,seed:long,whole:boolean>>"), "repeats")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each window of the open runs: seed, hash, document and start."""
+        """Each window of the open runs: half the seed, hash, document and start."""
         for b in batches:
             for ref, data, todo in zip(column(b, "ref").to_pylist(), column(b, "data"), column(b, "todo"), strict=True):
                 u = units(data.as_py())
@@ -227,9 +227,9 @@ def remove(docs: DataFrame, size: int, gram: int, words: bool, digest: bool = Fa
                 for x in todo.as_py():
                     at = np.arange(x["lo"], x["hi"] + 1)
                     k = len(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, x["seed"], np.int64)), pa.array(hashes(s, at, at + size).view(np.int64)), pa.array(np.full(k, ref, np.int64)), pa.array(at.astype(np.int32)), pa.array(np.full(k, not x["whole"]))], names=["seed", "hash", "ref", "at", "ask"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, np.int64(x["seed"]).astype(np.int32), np.int32)), pa.array(hashes(s, at, at + size).view(np.int64)), pa.array(np.full(k, ref, np.int64)), pa.array(at.astype(np.int32)), pa.array(np.full(k, not x["whole"]))], names=["seed", "hash", "ref", "at", "ask"])
 
-    every = gathered(state.filter("todo is not null").select("ref", "data", "todo"), extend, "seed long, hash long, ref long, at int, ask boolean")
+    every = gathered(state.filter("todo is not null").select("ref", "data", "todo"), extend, "seed int, hash long, ref long, at int, ask boolean")
     again = every.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("seed", "hash"))).filter("n > 1 and ask")
     starts = again.groupBy("ref").agg(F.collect_set("at").alias("starts"))
 
