@@ -15,11 +15,13 @@ from brindle.llm.repeats import hashes, sums, text_bytes, word_units
 SHINGLE = 5
 #: Registers of a sketch, floor(1 - log_B(x)) of minima x of exponentials of rate A; at B near 1 two of them are
 #: equal with a probability of about the Jaccard similarity.
-REGISTERS, B, A = 96, 1.001, 20.0
-#: Registers of a band. At a similarity of 0.75, 32 bands of 3 miss a pair once in 4e7.
-ROWS = 3
+REGISTERS, B, A = 192, 1.001, 20.0
+#: Bands and registers of each. At a similarity of 0.75, 32 bands of 3 miss a pair once in 4e7.
+BANDS, ROWS = 32, 3
+#: Rounds in which what is still apart in a bucket is paired with two of the bucket's largest component.
+ROUNDS = 1
 #: Pairs that the registers put so far below the threshold, over five standard errors, aren't verified.
-SLACK = 0.25
+SLACK = 0.17
 
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -50,7 +52,7 @@ def key_of(h: np.ndarray) -> bytes:
 
 
 def bands(k: np.ndarray) -> np.ndarray:
-    rows = k.reshape(-1, ROWS).astype(np.uint64)
+    rows = k[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
     out = np.arange(len(rows), dtype=np.uint64)
     for i in range(ROWS):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
@@ -147,6 +149,13 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("key"), F.col("b").alias("component")).unionByName(roots)
 
 
+def apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, key, component and main (the bucket's largest component) of the buckets of several components."""
+    at = buckets.select("bucket", "key", "n").join(found, "key", "left").select("bucket", "key", "n", F.coalesce("component", "key").alias("component"))
+    main = at.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    return written(at.join(main.filter("parts > 1"), "bucket").select("bucket", "key", "n", "component", "main"), "near-apart")
+
+
 def pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -156,8 +165,8 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Documents are linked where their sets of shingles share so many hundredths of their union; component_id is the
     smallest doc_id that links reach. Documents of one set are one class from the start. In each bucket of a band
-    every class is paired with the first; then, across the components that these links make, every two that share
-    a bucket. So no link between components is lost, and inside a group that holds together no pairs are formed.
+    every class is paired with a few others; then, across the components that these links make, every two that
+    share a bucket. So no link between components is lost, and inside a group that holds together no pairs are formed.
     Texts without words, null ones too, have no shingles and stand alone. Null ids are passed over when the smallest
     is sought; repeated rows share a component and are all kept if one is; an empty table gives no rows. Further
     columns are passed over. Shingles are compared by 64 bits of hash, classes by 128.
@@ -168,22 +177,34 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     buckets = classes.select("key", "n", "ref", F.posexplode("bands").alias("band", "hash"))
     w = Window.partitionBy("band", "hash")
     buckets = buckets.withColumn("first", F.min("key").over(w)).withColumn("last", F.max("key").over(w)).filter("first != last")
-    buckets = written(buckets.select(F.xxhash64("band", "hash").alias("bucket"), "key", "ref", "first"), "near-buckets")
+    buckets = written(buckets.select(F.xxhash64("band", "hash").alias("bucket"), "key", "n", "ref", "first"), "near-buckets")
     near = buckets.select("key", "ref").distinct()
     classes = written(classes.select("key", "n", "registers").join(near.select("key"), "key", "left_semi"), "near-classes")
     sets = sets_of(docs, near)
 
-    stars = buckets.filter("key != first").select(*pair("key", "first")).distinct()
-    links = verified(stars, classes, sets, percent)
+    # in each bucket, of however many classes: with the first of all, and with the one before in order of keys
+    before = F.lag("key").over(Window.partitionBy("bucket").orderBy("key"))
+    tried = buckets.withColumn("before", before).select("key", F.explode(F.array("first", "before")).alias("other")).filter("key != other").select(*pair("key", "other")).distinct()
+    links = verified(tried, classes, sets, percent)
     found = components(links)
-    # what the stars left apart although a bucket holds it together
-    at = buckets.select("bucket", "key").join(found, "key", "left").select("bucket", "key", F.coalesce("component", "key").alias("component"))
-    main = at.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    at = written(at.join(main, "bucket").select("bucket", "key", "component", "main"), "near-apart")
-    minor = at.filter("component != main").select("bucket", F.col("key").alias("other"), F.col("component").alias("of"))
-    apart = at.join(minor, "bucket").filter("component != of").select(*pair("key", "other")).distinct()
-    more = verified(apart.join(stars, ["a", "b"], "left_anti"), classes, sets, percent)
-    found = components(links.unionByName(more))
+    for k in range(ROUNDS):
+        at = apart(buckets, found)
+        if at.isEmpty():
+            break
+        # a few of the largest component for each class outside it, others in each round
+        order = F.struct(F.xxhash64("key", F.lit(k)), "key")
+        some = at.filter("component = main").groupBy("bucket").agg(F.array(F.min(order), F.max(order)).alias("some"))
+        few = at.filter("component != main").join(some, "bucket").select("key", F.explode("some").alias("x")).select("key", F.col("x.key").alias("other"))
+        more = verified(few.select(*pair("key", "other")).distinct(), classes, sets, percent)
+        links = found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more)
+        found = components(links)
+    # every pair of different components that shares a bucket: no link is lost
+    at = apart(buckets, found)
+    minor = at.filter("component != main").select("bucket", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"))
+    alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
+    rest = at.join(minor, "bucket").filter((F.col("component") != F.col("of")) & alike).select(*pair("key", "other")).distinct()
+    more = verified(rest, classes, sets, percent)
+    found = components(found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = each.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = named.join(found, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
