@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 from brindle.llm.ann import op6_nearest
 from brindle.llm.decontaminate import op4_decontaminate
 from brindle.llm.mixing import op5_mixing
 from brindle.llm.neardup import op7_neardup
+from brindle.llm.oracle import ORACLE_SQL
 from brindle.llm.pii import op2_pii
 from brindle.llm.quality import op8_quality
 from brindle.llm.repeats import op1_suffix, op10_substring
@@ -24,5 +27,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_substring": op10_substring,
 }
-
-ORACLE_SQL = {}
