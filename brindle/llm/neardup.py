@@ -22,6 +22,8 @@ BANDS, ROWS = 32, 3
 ROUNDS = 1
 #: Pairs that the registers put so far below the threshold, over five standard errors, aren't verified.
 SLACK = 0.17
+#: Words of 64 bits of a set's parities.
+WORDS = 8
 
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -51,6 +53,11 @@ def key_of(h: np.ndarray) -> bytes:
     return np.array([mixed(h).sum(), mixed(h ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum()], np.uint64).tobytes()
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """Whether an odd number of hashes falls on each of 64 * WORDS bits: two sets differ in as many as these, or more."""
+    return np.packbits(np.bincount((h % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1).view(np.int64)
+
+
 def bands(k: np.ndarray) -> np.ndarray:
     rows = k[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
     out = np.arange(len(rows), dtype=np.uint64)
@@ -94,14 +101,14 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, refs: DataFrame) -> DataFrame:
-    """key, n and the whole set of the documents in refs."""
+    """key, bits and the whole set of the documents in refs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(text_bytes(t)) for t in column(b, "text")]
-            yield pa.RecordBatch.from_arrays([column(b, "key"), pa.array([h.tobytes() for h in sets], pa.binary())], names=["key", "set"])
+            yield pa.RecordBatch.from_arrays([column(b, "key"), pa.array([h.tobytes() for h in sets], pa.binary()), pa.array([parities(h) for h in sets], pa.list_(pa.int64()))], names=["key", "set", "bits"])
 
-    return written(docs.select("ref", "text").join(refs, "ref").select("key", "text").mapInArrow(run, "key binary, set binary").dropDuplicates(["key"]), "near-sets")
+    return written(docs.select("ref", "text").join(refs, "ref").select("key", "text").mapInArrow(run, "key binary, set binary, bits array<long>").dropDuplicates(["key"]), "near-sets")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -156,6 +163,46 @@ def apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return written(at.join(main.filter("parts > 1"), "bucket").select("bucket", "key", "n", "component", "main"), "near-apart")
 
 
+def prefixes(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """key, n, component, hash and place of each set's rarest shingles: so many that two sets of the similarity asked
+    for must share one. Shingles of one set alone come first of all and are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, x in enumerate(column(b, "set")):
+                h = np.frombuffer(x.as_py(), np.int64)
+                for base in range(0, len(h), 50_000):
+                    part = h[base : base + 50_000]
+                    one = pa.array(np.full(len(part), i))
+                    yield pa.RecordBatch.from_arrays([*(column(b, c).take(one) for c in ("key", "n", "component")), pa.array(part)], names=["key", "n", "component", "hash"])
+
+    every = keys.join(sets, "key").select("key", "n", "component", "set")
+    every = written(every.mapInArrow(run, "key binary, n long, component binary, hash long"), "near-shingles")
+    common = every.groupBy("hash").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    mine = Window.partitionBy("key")
+    place = F.row_number().over(mine.orderBy("df", "hash")) + F.col("n") - F.count(F.lit(1)).over(mine)
+    ordered = every.join(common, "hash").withColumn("place", place)
+    # sets share at least ceil(percent / 100 of the larger's size), so one of the first n + 1 less that
+    return ordered.filter(100 * (F.col("n") - F.col("place") + 1) >= percent * F.col("n")).select("key", "n", "component", "hash", "place")
+
+
+def meeting(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that sizes, bits and places of a shared shingle don't rule out."""
+    tokens = written(prefixes(keys, sets, percent).join(sets.select("key", "bits"), "key"), "near-prefixes")
+    by_part = tokens.groupBy("hash", "component").count()
+    main = by_part.groupBy("hash").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    at = tokens.join(main.select("hash", "main"), "hash")
+    minor = at.filter("component != main").select("hash", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("place").alias("stands"), F.col("bits").alias("others"))
+    alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
+    both = F.col("n") + F.col("size")
+    # of the first shingle that two sets share: what they share is no more than it and what follows
+    shared = F.least(F.col("n") - F.col("place"), F.col("size") - F.col("stands")) + 1
+    differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("others")[i])) for i in range(WORDS)), F.lit(0))
+    enough = ((100 + percent) * shared >= percent * both) & ((100 + percent) * (both - differ) >= 2 * percent * both)
+    return at.join(minor, "hash").filter((F.col("component") != F.col("of")) & alike & enough).select(*pair("key", "other")).distinct()
+
+
 def pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -165,8 +212,9 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Documents are linked where their sets of shingles share so many hundredths of their union; component_id is the
     smallest doc_id that links reach. Documents of one set are one class from the start. In each bucket of a band
-    every class is paired with a few others; then, across the components that these links make, every two that
-    share a bucket. So no link between components is lost, and inside a group that holds together no pairs are formed.
+    every class is paired with a few others. Classes whose bucket still holds several components are then joined on
+    their rarest shingles, under bounds of size, place and parity bits, so that no link between components is lost and no group is
+    paired throughout.
     Texts without words, null ones too, have no shingles and stand alone. Null ids are passed over when the smallest
     is sought; repeated rows share a component and are all kept if one is; an empty table gives no rows. Further
     columns are passed over. Shingles are compared by 64 bits of hash, classes by 128.
@@ -198,13 +246,12 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         more = verified(few.select(*pair("key", "other")).distinct(), classes, sets, percent)
         links = found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more)
         found = components(links)
-    # every pair of different components that shares a bucket: no link is lost
+    # what is left, across components: the pairs of a bucket's keys whose rarest shingles meet, so no link is lost
     at = apart(buckets, found)
-    minor = at.filter("component != main").select("bucket", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"))
-    alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
-    rest = at.join(minor, "bucket").filter((F.col("component") != F.col("of")) & alike).select(*pair("key", "other")).distinct()
-    more = verified(rest, classes, sets, percent)
-    found = components(found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
+    if not at.isEmpty():
+        rest = meeting(at.select("key", "n", "component").distinct(), sets, percent)
+        more = verified(rest, classes, sets, percent)
+        found = components(found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = each.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = named.join(found, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
