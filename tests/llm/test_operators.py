@@ -84,6 +84,21 @@ def test_groups_link_what_stars_leave_apart(spark):
     assert set(got.values()) == {0}
 
 
+def test_meeting_loses_no_pair(spark):
+    """Edited copies of one text, some of other lengths: every two that are similar enough come out of the prefix join."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 150, np.uint64)
+    sets = {}
+    for i in range(60):
+        own = rng.integers(0, 1 << 63, rng.integers(0, 40), np.uint64)
+        sets[bytes([i])] = np.unique(np.concatenate([rng.permutation(base)[: 150 - rng.integers(0, 40)], own]))
+    keys = spark.createDataFrame([(k, len(h), k) for k, h in sets.items()], "key binary, n long, component binary")
+    table = spark.createDataFrame([(k, h.tobytes(), neardup.parities(h).tolist()) for k, h in sets.items()], "key binary, set binary, bits array<long>")
+    got = {(bytes(r.a), bytes(r.b)) for r in neardup.meeting(keys, table, 75).collect()}
+    close = {(a, b) for a in sets for b in sets if a < b and 100 * (both := len(np.intersect1d(sets[a], sets[b]))) >= 75 * (len(sets[a]) + len(sets[b]) - both)}
+    assert close and close <= got and len(got) < 60 * 59 / 2
+
+
 def test_likelihood_estimates_similarity():
     rng = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.8):
