@@ -21,4 +21,47 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN i ON d.doc_id = i.doc_id
 """
 
-ORACLE_SQL = {"op4_decontaminate": DECONTAMINATE}
+SUFFIX = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399, 500)) AS c FROM d),
+piece AS (SELECT doc_id, c, substr(h, 2 * c + 1, 1798) AS h FROM c),
+s AS (SELECT doc_id, c, h, unnest(range(0, len(h) // 2 - 399)) AS s FROM piece),
+k AS (SELECT doc_id, c + s AS s, md5(substr(h, 2 * s + 1, 800)) AS k FROM s),
+again AS (SELECT doc_id, s FROM k WHERE k IN (SELECT k FROM k GROUP BY k HAVING count(*) > 1)),
+cut AS (SELECT *, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400, true) AS new FROM again),
+part AS (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS part FROM cut),
+span AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS b FROM part GROUP BY doc_id, part),
+gone AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last FROM span GROUP BY doc_id),
+before AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM span),
+lead AS (SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS x FROM before JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(x, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN lead USING (doc_id)
+"""
+
+SUBSTRING = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(0, len(w) - 34)) AS s FROM d),
+k AS (SELECT doc_id, s, md5(array_to_string(w[s + 1 : s + 35], ' ')) AS k FROM s),
+again AS (SELECT doc_id, s FROM k WHERE k IN (SELECT k FROM k GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM again),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS p FROM d),
+stay AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS x FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
+FROM d LEFT JOIN stay USING (doc_id)
+"""
+
+NEARDUP = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, least(5, len(w)) AS l, unnest(range(0, len(w) - least(5, len(w)) + 1)) AS s FROM d WHERE len(w) > 0),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, md5(array_to_string(w[s + 1 : s + l], ' ')) AS k FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+meet AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM meet JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op10_substring": SUBSTRING}
