@@ -23,6 +23,8 @@ from brindle.llm.common import column, mixed, written
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Starts that are taken at once; a longer text is taken in pieces that overlap by a window.
 CHUNK = 1 << 18
+#: Tasks over which the windows of one seed are spread, by how far before it they start.
+PARTS = 16
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -218,19 +220,27 @@ def remove(docs: DataFrame, size: int, gram: int, words: bool, digest: bool = Fa
     joined = docs.join(about, "ref", "left").select("doc_id", "text_hash", "ref", "text", "marks", "copy")
     state = written(joined.mapInArrow(first, head + of_result + ", data binary, covered array<struct<start:int,end:int>>, todo array<struct<lo:int,hi:int,seed:long,whole:boolean>>"), "repeats")
 
+    width = -(-(size - gram + 1) // PARTS)
+
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each window of the open runs: half the seed, hash, document and start."""
+        """Each window of the open runs: half the seed, how far before the seed it starts (part), hash, and document
+        and start if it asks whether it repeats. Equal windows are of one seed and part, neighbours often too, so
+        that neighbours stay together in the shuffle and share their bytes there.
+        """
         for b in batches:
             for ref, data, todo in zip(column(b, "ref").to_pylist(), column(b, "data"), column(b, "todo"), strict=True):
                 u = units(data.as_py())
                 s = sums(u)
                 for x in todo.as_py():
                     at = np.arange(x["lo"], x["hi"] + 1)
-                    k = len(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, np.int64(x["seed"]).astype(np.int32), np.int32)), pa.array(hashes(s, at, at + size).view(np.int64)), pa.array(np.full(k, ref, np.int64)), pa.array(at.astype(np.int32)), pa.array(np.full(k, not x["whole"]))], names=["seed", "hash", "ref", "at", "ask"])
-
-    every = gathered(state.filter("todo is not null").select("ref", "data", "todo"), extend, "seed int, hash long, ref long, at int, ask boolean")
-    again = every.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("seed", "hash"))).filter("n > 1 and ask")
+                    near = np.arange(x["hi"], x["lo"] + size - gram + 1)
+                    seed = near[hashes(s, near, near + gram).view(np.int64) == x["seed"]][-1]
+                    k, ask = len(at), not x["whole"]
+                    columns = (np.full(k, np.int64(x["seed"]).astype(np.int32)), ((seed - at) // width).astype(np.int32), np.full(k, ask), np.full(k, ref if ask else 0), hashes(s, at, at + size).view(np.int64), (at if ask else at * 0).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["seed", "part", "ask", "ref", "hash", "at"])
+
+    every = gathered(state.filter("todo is not null").select("ref", "data", "todo"), extend, "seed int, part int, ask boolean, ref long, hash long, at int").repartition("seed", "part")
+    again = every.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("seed", "part", "hash"))).filter("n > 1 and ask")
     starts = again.groupBy("ref").agg(F.collect_set("at").alias("starts"))
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
