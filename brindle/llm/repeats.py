@@ -100,7 +100,7 @@ def runs(units: np.ndarray, size: int, gram: int) -> Iterator[tuple[np.ndarray,
         lo, hi = cut, np.append(cut[1:], len(seed)) - 1
         of = seed[lo]
         tied = mixed(hashes(s, lo, hi + size) + (hi - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (of - lo).astype(np.uint64) * np.uint64(BASE))
-        yield g[of].view(np.int64), (tied >> np.uint64(32)).astype(np.uint32).view(np.int32), (lo + base).astype(np.int32), (hi + base).astype(np.int32)
+        yield g[of].view(np.int64), tied.view(np.int64), (lo + base).astype(np.int32), (hi + base).astype(np.int32)
 
 
 def text_bytes(x: pa.Scalar) -> bytes:
@@ -140,7 +140,7 @@ def seeds_of(docs: DataFrame, units: Callable, size: int, gram: int) -> DataFram
         own = mixed(mixed(ref.view(np.uint64)) + lo.astype(np.uint64)).view(np.int64)
         return pa.RecordBatch.from_arrays([*map(pa.array, (np.where(sure, own, seed), stretch, lo, hi, ref, sure.astype(np.int32) + 1))], names=["seed", "stretch", "lo", "hi", "ref", "weight"])
 
-    return docs.select("ref", "text").mapInArrow(run, "seed long, stretch int, lo int, hi int, ref long, weight int")
+    return docs.select("ref", "text").mapInArrow(run, "seed long, stretch long, lo int, hi int, ref long, weight int")
 
 
 def marked(found: DataFrame) -> DataFrame:
@@ -170,7 +170,8 @@ def remove(docs: DataFrame, size: int, gram: int, words: bool, digest: bool = Fa
     A unit goes if a window of ``size`` units that covers it also starts anywhere else, in any text or the same one;
     spans are the maximal runs of units that go, end exclusive. Null texts are empty; texts shorter than a window
     lose nothing; repeated rows are copies of each other and lose all that windows cover; an empty table gives no
-    rows. Further columns are passed over. Equality is that of 96 bits of hash (of the seed and half the stretch's, or of half the seed and the window's).
+    rows. Further columns are passed over. Equality is that of hashes, of 64 bits
+    for stretches under one 64-bit seed and of 64 bits for windows under half the seed.
     """
     units = word_units if words else byte_units
     kind = dict(docs.dtypes)["doc_id"]

@@ -58,6 +58,19 @@ def test_repeats(docs, none, size, gram, by_word):
     assert repeats.remove(none, size, gram, by_word).count() == 0
 
 
+W34, B392 = " ".join(f"w{i}" for i in range(34)), "".join(f"{i:04d}" for i in range(98))
+
+
+@pytest.mark.parametrize("size,gram,by_word,texts", [(35, 10, True, [f"v{i} {W34}" for i in (26455, 120850)]), (400, 200, False, [f"{i:08d}{B392}" for i in (9023, 99373)])])
+def test_stretches_of_one_seed_differ(spark, size, gram, by_word, texts):
+    """Two texts of one window each share a seed, and half of their stretches' hashes, but not the window."""
+    units = [(repeats.word_units if by_word else repeats.byte_units)(t.encode()) for t in texts]
+    (a,), (b,) = (list(repeats.runs(u, size, gram)) for u in units)
+    assert a[0] == b[0] and int(a[1][0]) != int(b[1][0])
+    got = repeats.remove(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size, gram, by_word)
+    assert [(r.n, r.n_removed) for r in got.collect()] == [(size, 0)] * 2
+
+
 def test_groups(docs, none):
     sets = [({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()) for w in (words((t or "").encode().lower().decode()) for _, t, _ in ROWS)]
     part = list(range(len(ROWS)))
