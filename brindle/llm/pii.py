@@ -21,8 +21,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-#: What may be an identifier: an unbroken string with at least four digits.
-TOKEN = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*+")
+#: What may be an identifier: numbers with blanks between, or an unbroken string with four digits, or a digit and a
+#: letter, or an at or underscore.
+PIECE = r"\(?[0-9][0-9()./-]*+"
+SPACED = re.compile(rf"(?<![\w.+/-])\+?{PIECE}(?:[\x20\xA0]{PIECE})+(?!\w)")
+TOKEN = re.compile(r"(?<!\S)[^\s0-9@_]*+[0-9@_]\S*+")
+LETTER = re.compile(r"[^\W\d_]")
 EDGE = ".,;:!?()[]{}<>\"'*#%$&|"
 MIN_DIGITS, MIN_LENGTH, MAX_LENGTH = 4, 6, 80
 #: A context is a pattern once so many different seeds share it; one this precise discovers.
@@ -65,36 +69,67 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def shape(s: str) -> str:
-    """Digits as 9, letters as a, repeats once."""
-    return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "9", s)))
+def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """Without the marks around it, but with a bracket that opens for one that closes inside."""
+    s = text[a:b]
+    first, b = a + len(s) - len(s.lstrip(EDGE)), a + len(s.rstrip(EDGE))
+    inside = text[first:b].partition(")")
+    if first > a and text[first - 1] == "(" and inside[1] and "(" not in inside[0]:
+        first -= 1
+    return first, b
 
 
-def places(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str, str, list[str]]]:
-    """start, end, kind (empty: not known), instance and lexical contexts of each identifier-like string."""
-    if not base and not DIGIT.search(text):
-        return
-    taken, last = [(a, b, KINDS[k]) for a, k, b in base], -1
-    found = list(taken)
+def like(s: str) -> bool:
+    """Whether it has the length and signs of an identifier."""
+    if not MIN_LENGTH <= len(s) <= MAX_LENGTH:
+        return False
+    n = len(DIGIT.findall(s))
+    return n >= MIN_DIGITS or bool(LETTER.search(s)) and (n > 0 or "@" in s or "_" in s)
+
+
+def failed(s: str) -> bool:
+    """Whether a string outside all base matches is of the form of one, but not of its numbers or length."""
+    digits = (DIGIT.findall(m[0]) for m in CARD.finditer(s))
+    return bool(IP.search(s) or PHONE.search(s)) or any(len(d) >= 14 and not (len(d) <= 19 and luhn("".join(d))) for d in digits)
+
+
+def free(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]], most: int) -> Iterator[tuple[int, int]]:
+    """The spans that overlap none of taken; both by start, at most so many of taken in one place."""
     at = 0
-    for m in TOKEN.finditer(text):
-        s = m[0]
-        a, b = m.start() + len(s) - len(s.lstrip(EDGE)), m.start() + len(s.rstrip(EDGE))
-        if not MIN_LENGTH <= b - a <= MAX_LENGTH or len(DIGIT.findall(text[a:b])) < MIN_DIGITS:
-            continue
+    for a, b in spans:
         while at < len(taken) and taken[at][1] <= a:
             at += 1
-        if any(x < b and a < y for x, y, _ in taken[at : at + len(KINDS)]):
-            continue
-        found.append((a, b, ""))
+        if not any(x < b and a < y for x, y in taken[at : at + most]):
+            yield a, b
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """start and end of each identifier-like string outside the base matches. Numbers with blanks between are one
+    string, unless it is too long or has more digits than any base kind.
+    """
+    taken = [(a, b) for a, _, b in base]
+    spaced = [(a, b) for a, b in free((trimmed(text, *m.span()) for m in SPACED.finditer(text)), taken, len(KINDS)) if b - a <= MAX_LENGTH and len(DIGIT.findall(text[a:b])) <= 19]
+    tokens = free(free((trimmed(text, *m.span()) for m in TOKEN.finditer(text)), taken, len(KINDS)), spaced, 2)
+    for a, b in (*spaced, *tokens):
+        if like(s := text[a:b]) and not failed(s):
+            yield a, b
+
+
+def places(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str, str, list[str]]]:
+    """start, end, kind (empty: not known), instance and lexical contexts of each identifier-like string: the two
+    words before it, and the words on its two sides.
+    """
+    found = [(a, b, KINDS[k]) for a, k, b in base] + [(a, b, "") for a, b in candidates(text, base)]
+    last = -1
     for a, b, kind in sorted(found):
         if (a, b) == last:
             continue
         last = (a, b)
         left, right = text[max(0, a - 60) : a].lower().split(), text[b : b + 60].lower().split()
         l1, l2, r1 = (left or ["^"])[-1], (["^", "^", *left])[-2], (right or ["$"])[0]
-        sh = shape(text[a:b])
-        yield a, b, kind, text[a:b], [f"L {l2} {l1} | {sh}", f"B {l1} _ {r1} | {sh}"]
+        contexts = [f"L {l2} {l1}"] * bool(LETTER.search(l2 + l1)) + [f"B {l1} _ {r1}"] * bool(LETTER.search(l1 + r1))
+        if contexts:
+            yield a, b, kind, text[a:b], contexts
 
 
 def scored(edges: DataFrame) -> DataFrame:

@@ -235,6 +235,22 @@ def test_contexts_discover(spark, docs, none):
     assert [(r.instance, r.found) for r in found] == [("new", "phone")]
 
 
+def test_contexts_discover_other_forms(spark):
+    """Unseen identifiers in the context of phones are found and masked, and what fails a base check isn't."""
+    unseen = ["743 555 3824", "(743) 555-3824", "743-555-3824", "AC-77120-X", "@kim_lee", "12345678"]
+    decoys = ["300.155.1.1", "4111111111111112", "4111 1111 1111 1112", "+9 (55) 55-12", "+99 123456", "1" * 25]
+    seeds = [f"+1 (555) 555-{1000 + i}" for i in range(30)]
+    rows = [(i, f"please dial number {x} today") for i, x in enumerate(seeds + unseen + decoys)] + [(100, "the year 20201231 and @some_one else")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find(df).collect()}
+    n, m = len(seeds), len(seeds) + len(unseen)
+    assert [got[i] for i in range(n, m)] == [[(19, "context_phone", 19 + len(x))] for x in unseen]
+    assert not any(got[i] for i in [*range(m, m + len(decoys)), 100])
+    masked = {r.doc_id: r.text for r in pii.masked(df).collect()}
+    assert {masked[i] for i in range(m)} == {"please dial number <phone> today"}
+    assert [masked[i] for i, _ in rows[m:]] == [t for _, t in rows[m:]]
+
+
 @pytest.mark.parametrize("name,run,truth,least", [("quality", quality.classify, "quality", 0.9), ("toxicity", toxicity.classify, "toxic", 0.85)])
 def test_classifiers(spark, docs, none, name, run, truth, least):
     d, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
