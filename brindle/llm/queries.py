@@ -11,7 +11,8 @@ from brindle.llm.neardup import op7_neardup
 from brindle.llm.oracle import ORACLE_SQL
 from brindle.llm.pii import op2_pii
 from brindle.llm.quality import op8_quality
-from brindle.llm.repeats import op1_suffix, op10_substring
+from brindle.llm.repeats import op10_substring
+from brindle.llm.suffix import op1_suffix
 from brindle.llm.toxicity import op3_toxicity
 from brindle.llm.warc import op9_warc
 

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from brindle.llm import ann, decontaminate, mixing, neardup, pii, quality, repeats, toxicity, warc
+from brindle.llm import ann, decontaminate, meeting, mixing, neardup, pii, quality, repeats, suffix, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, source string, text_hash string, kept string"
@@ -46,29 +46,58 @@ def removed(units, size):
     return out
 
 
-@pytest.mark.parametrize("size,gram,by_word", [(35, 10, True), (60, 30, False), (400, 200, False)])
-def test_repeats(docs, none, size, gram, by_word):
-    got = sorted(((r.n, r.n_removed, bytes(r.kept)) for r in repeats.remove(docs, size, gram, by_word).collect()), key=repr)
-    units = [tuple(words(t)) if by_word else (t or "").encode() for _, t, _ in ROWS]
+REMOVE = [(lambda d: repeats.remove(d, 35, 10), 35, True), (lambda d: repeats.remove(d, 12, 5), 12, True), (lambda d: suffix.remove(d, 60), 60, False), (lambda d: suffix.remove(d, 400), 400, False)]
+
+
+def check_removed(remove, size, by_word, texts, got):
+    got = sorted(((r.n, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()), key=repr)
+    units = [tuple(words(t)) if by_word else (t or "").encode() for t in texts]
     want = []
     for u, m in zip(units, removed(units, size), strict=True):
         stay = [u[i : i + 1] for i in np.flatnonzero(~m)]
-        want.append((len(u), int(m.sum()), b" ".join(x[0] for x in stay) if by_word else b"".join(stay)))
+        want.append((len(u), int(m.sum()), int((np.diff(np.append([False], m).astype(int)) > 0).sum()), b" ".join(x[0] for x in stay) if by_word else b"".join(stay)))
     assert got == sorted(want, key=repr)
-    assert repeats.remove(none, size, gram, by_word).count() == 0
+
+
+@pytest.mark.parametrize("remove,size,by_word", REMOVE)
+def test_removed(docs, none, remove, size, by_word):
+    check_removed(remove, size, by_word, [t for _, t, _ in ROWS], remove(docs))
+    assert remove(none).count() == 0
+
+
+@pytest.mark.parametrize("pieces,few,many", [(97, 8, 20_000), (1 << 18, 1, 20_000), (1 << 18, 8, 1)])
+@pytest.mark.parametrize("remove,size,by_word", REMOVE)
+def test_removed_in_pieces_and_hot_seeds(spark, monkeypatch, remove, size, by_word, pieces, few, many):
+    """Long texts in pieces, phrases with very many surroundings, overlapping repeats, and windows that just fall short."""
+    for name, value in (("FEW", few), ("MANY", many), ("BLOCK", 500)):
+        monkeypatch.setattr(meeting, name, value)
+    for m in (repeats, suffix):
+        monkeypatch.setattr(m, "CHUNK", max(pieces, 3 * size))
+    rng = np.random.default_rng(size + pieces)
+    word = lambda n: " ".join(f"{x:x}" for x in rng.integers(0, 1 << 28, n))
+    phrase, long = word(size), word(size + 40)
+    cut = lambda t, a, b: " ".join(t.split()[a:b])
+    texts = [f"{word(int(rng.integers(0, 50)))} {cut(phrase, 0, size - int(rng.integers(0, 3)))} {word(int(rng.integers(0, 50)))}" for _ in range(25)]
+    texts += [f"{word(5)} {cut(long, int(a), int(b))} {word(7)}" for a, b in rng.integers(0, size + 40, (25, 2))]
+    texts += ["a b c d " * 60, "a b c d " * 50 + word(20), word(400) + " " + phrase + " " + word(300) + " " + long, long, long]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    check_removed(remove, size, by_word, texts, remove(df))
+
+
+def test_covers():
+    for v, d in suffix.COVERS.items():
+        assert sorted((a - b) % v for a in d for b in d if a != b) == list(range(1, v))
 
 
 W34, B392 = " ".join(f"w{i}" for i in range(34)), "".join(f"{i:04d}" for i in range(98))
 
 
-@pytest.mark.parametrize("size,gram,by_word,texts", [(35, 10, True, [f"v{i} {W34}" for i in (26455, 120850)]), (400, 200, False, [f"{i:08d}{B392}" for i in (9023, 99373)])])
-def test_stretches_of_one_seed_differ(spark, size, gram, by_word, texts):
-    """Two texts of one window each share a seed, and half of their stretches' hashes, but not the window."""
-    units = [(repeats.word_units if by_word else repeats.byte_units)(t.encode()) for t in texts]
-    (a,), (b,) = (list(repeats.runs(u, size, gram)) for u in units)
-    assert a[0] == b[0] and int(a[1][0]) != int(b[1][0])
-    got = repeats.remove(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), size, gram, by_word)
-    assert [(r.n, r.n_removed) for r in got.collect()] == [(size, 0)] * 2
+def test_stretches_of_one_seed_differ(spark):
+    """Texts of one window each share an anchor or a name, but not the window."""
+    got = repeats.remove(spark.createDataFrame([(i, f"v{i} {W34}") for i in (26455, 120850)], "doc_id long, text string"), 35, 10)
+    assert [(r.n, r.n_removed) for r in got.collect()] == [(35, 0)] * 2
+    got = suffix.remove(spark.createDataFrame([(i, f"{i:08d}{B392}") for i in (9023, 99373)], "doc_id long, text string"), 400)
+    assert [(r.n, r.n_removed) for r in got.collect()] == [(400, 0)] * 2
 
 
 def test_groups(docs, none):
