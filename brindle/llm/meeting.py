@@ -1,12 +1,13 @@
 """Hashes of places in texts, packed into blocks where they are made and compared in buckets where they meet.
 
-A row for each hash would cost more than the hash itself: entries travel as columns of bytes, and each bucket is
-sorted as an array. What a block alone shows to repeat doesn't go to the bucket, so that a hash of any number of places
-fills no task.
+A row for each hash would cost more than the hash itself: entries travel as columns of bytes, with the document's number
+in its block for its ref, and each bucket is sorted as an array. What a block alone shows to repeat doesn't go to the
+bucket, so that a hash of any number of places fills no task.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -15,10 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column
-
-#: Entries of a block, and about as many of a bucket.
-BLOCK = 1 << 20
+#: Entries of a block, and about how many of a bucket.
+BLOCK, BUCKET = 1 << 20, 1 << 19
 #: Different stretches of one seed that a block sends to the seed's bucket; further ones are taken as open.
 FEW = 8
 #: Different stretches of a seed beyond which its windows are compared one by one.
@@ -72,24 +71,25 @@ def deltas(x: np.ndarray) -> bytes:
     return planes(np.diff(x, prepend=x.dtype.type(0)))
 
 
-ROW = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), *((k, pa.binary()) for k in ("refs", *Entries._fields))])
-ROW_SQL = "bucket int, n int, " + ", ".join(f"{k} binary" for k in ("refs", *Entries._fields))
+ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), *((k, pa.binary()) for k in ("docs", *Entries._fields[1:], "refs"))])
+ROW_SQL = "bucket int, block long, n int, " + ", ".join(f"{f.name} binary" for f in list(ROW)[3:])
 
 
-def packed(bucket: int, e: Entries) -> dict:
-    refs, doc = np.unique(e.ref, return_inverse=True)
-    return {"bucket": bucket, "n": len(doc), "refs": refs.tobytes(), "ref": deltas(doc.astype(np.int32)), "hash": planes(e.hash), "more": planes(e.more), "value": deltas(e.value), "flag": e.flag.tobytes()}
+def packed(bucket: int, block: int, e: Entries) -> dict:
+    """A row of entries, whose ref is the document's number in the block."""
+    return {"bucket": bucket, "block": block, "n": len(e.ref), "docs": deltas(e.ref.astype(np.int32)), "hash": planes(e.hash), "more": planes(e.more), "value": deltas(e.value), "flag": e.flag.tobytes()}
 
 
-def unpacked(row: dict) -> Entries:
+def unpacked(row: dict, number: int) -> Entries:
+    """The entries, each with the number of the row's block in the upper half of its ref."""
     n = row["n"]
-    doc = np.cumsum(unplaned(row["ref"], np.int32, n))
-    return Entries(np.frombuffer(row["refs"], np.int64)[doc], unplaned(row["hash"], np.uint64, n), unplaned(row["more"], np.uint64, n), np.cumsum(unplaned(row["value"], np.int64, n)), np.frombuffer(row["flag"], np.uint8))
+    doc = np.cumsum(unplaned(row["docs"], np.int32, n), dtype=np.int64)
+    return Entries(doc | (number << 32), unplaned(row["hash"], np.uint64, n), unplaned(row["more"], np.uint64, n), np.cumsum(unplaned(row["value"], np.int64, n)), np.frombuffer(row["flag"], np.uint8))
 
 
 def bits_for(n: int) -> int:
     """Bits of the bucket for so many entries."""
-    return int(np.clip(np.ceil(np.log2(max(n, 1) / BLOCK)), 4, 20))
+    return int(np.clip(np.ceil(np.log2(max(n, 1) / BUCKET)), 5, 20))
 
 
 def met(df: DataFrame, found: Callable, block: Callable, judge: Callable, bits: int) -> DataFrame:
@@ -111,46 +111,63 @@ def met(df: DataFrame, found: Callable, block: Callable, judge: Callable, bits:
             yield from rows(joined(held))
 
     def rows(e: Entries) -> Iterator[pa.RecordBatch]:
-        send, (ref, value) = block(e)
-        out = []
+        refs, doc = np.unique(e.ref, return_inverse=True)
+        send, (ref, value) = block(e._replace(ref=doc.astype(np.int64)))
+        # by content, so that a task that runs again gives the same
+        number = int.from_bytes(hashlib.blake2b(refs.tobytes(), digest_size=8).digest(), "little", signed=True)
+        apart = (1 << bits) + number % (1 << bits)
+        out = [{"bucket": apart, "block": number, "n": len(refs), "refs": refs.tobytes()}]
         if len(ref):
             order = np.lexsort((value, ref))
-            out.append(packed((1 << bits) + int(ref[0]) % (1 << bits), entries(ref[order], np.zeros(len(ref), np.uint64), 0, value[order], 0)))
+            out.append(packed(apart, number, entries(ref[order], np.zeros(len(ref), np.uint64), 0, value[order], 0)))
         if len(send.ref):
             bucket = (send.hash >> np.uint64(64 - bits)).astype(np.int64)
             # by bucket, then document and place: neighbours' differences are small
             order = np.lexsort((send.value, send.ref, bucket))
             cut = np.flatnonzero(np.diff(bucket[order])) + 1
-            out += [packed(int(bucket[part[0]]), send.take(part)) for part in np.split(order, cut)]
+            out += [packed(int(bucket[part[0]]), number, send.take(part)) for part in np.split(order, cut)]
         for at in range(0, len(out), 64):
             yield pa.RecordBatch.from_pylist(out[at : at + 64], ROW)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
+        held, numbers, now = [], [], None
         for b in batches:
             for row in b.to_pylist():
                 if row["bucket"] != now and held:
-                    yield from lists(*judge(joined(held)))
-                    held = []
-                now, e = row["bucket"], unpacked(row)
-                if now >= 1 << bits:
-                    yield from lists(e.ref, e.value)
+                    yield from lists(numbers, *judge(joined(held)))
+                    held, numbers = [], []
+                now = row["bucket"]
+                if row["refs"] is not None:
+                    yield documents(row)
+                elif now >= 1 << bits:
+                    e = unpacked(row, 0)
+                    yield from lists([row["block"]], e.ref, e.value)
                 else:
-                    held.append(e)
+                    held.append(unpacked(row, len(numbers)))
+                    numbers.append(row["block"])
         if held:
-            yield from lists(*judge(joined(held)))
+            yield from lists(numbers, *judge(joined(held)))
+
+    def documents(row: dict) -> pa.RecordBatch:
+        n = row["n"]
+        empty = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), pa.array([], pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(n)), pa.array(np.frombuffer(row["refs"], np.int64)), empty], names=["block", "doc", "ref", "values"])
 
-    def lists(ref: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def lists(numbers: list[int], ref: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(ref):
             order = np.lexsort((value, ref))
             refs, first = np.unique(ref[order], return_index=True)
             offset = np.append(first, len(ref)).astype(np.int32)
-            whole = pa.RecordBatch.from_arrays([pa.array(refs), pa.ListArray.from_arrays(pa.array(offset), pa.array(value[order]))], names=["ref", "values"])
+            of = np.array(numbers, np.int64)[refs >> 32]
+            whole = pa.RecordBatch.from_arrays([pa.array(of), pa.array(refs & 0xFFFFFFFF), pa.nulls(len(refs), pa.int64()), pa.ListArray.from_arrays(pa.array(offset), pa.array(value[order]))], names=["block", "doc", "ref", "values"])
             for at in range(0, len(refs), 10_000):
                 yield whole.slice(at, 10_000)
 
     dealt = df.mapInArrow(make, ROW_SQL).repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(meet, "ref long, values array<long>").groupBy("ref").agg(F.flatten(F.collect_list("values")).alias("values"))
+    told = dealt.mapInArrow(meet, "block long, doc long, ref long, values array<long>")
+    gather = F.flatten(F.collect_list("values")).alias("values")
+    told = told.groupBy("block", "doc").agg(F.max("ref").alias("ref"), gather).filter(F.size("values") > 0)
+    return told.groupBy("ref").agg(gather)
 
 
 def block_repeats(e: Entries) -> tuple[Entries, tuple[np.ndarray, np.ndarray]]:

@@ -101,8 +101,8 @@ def remove(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
             for base in range(0, len(data) - period + 1, CHUNK):
                 part = data[base : base + CHUNK + period - 1]
                 p = np.flatnonzero(sampled[np.arange(base, base + len(part) - period + 1) % period])
-                # a filter alone: 56 bits do, and what is told apart by fewer costs less in the shuffle
-                yield entries(ref, hashes(sums(byte_units(part)), p, p + period) & ~np.uint64(0xFF), 0, p + base, 1)
+                # a filter alone: 48 bits do, and cost less in the shuffle
+                yield entries(ref, hashes(sums(byte_units(part)), p, p + period) & ~np.uint64(0xFFFF), 0, p + base, 1)
 
     again = met(docs.select("ref", "text"), samples, block_repeats, judge_repeats, bits)
 
