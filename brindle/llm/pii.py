@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import column, joined, written
+from brindle.llm.common import column, joined, unused, written
 
 #: The base kinds in the order in which spans that start together are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -188,14 +188,15 @@ def find(docs: DataFrame) -> DataFrame:
 
 def masked(docs: DataFrame) -> DataFrame:
     """docs with each span of personal data in the text replaced by its kind in angle brackets; overlapping ones
-    as one, by the kind that starts first. All columns stay; docs has no column spans of its own.
+    as one, by the kind that starts first. All columns stay, whatever their names; null texts stay null.
     """
-    both = joined(docs, find(docs).filter(F.size("spans") > 0), "left", ["spans"])
+    own = unused(docs, "spans")
+    both = joined(docs, find(docs).filter(F.size("spans") > 0), "left", {"spans": own})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t, spans in zip(column(b, "text"), column(b, "spans"), strict=True):
+            for t, spans in zip(column(b, "text"), column(b, own), strict=True):
                 text, s = t.as_py(), spans.as_py()
                 if s:
                     parts, at = [], 0
@@ -209,7 +210,7 @@ def masked(docs: DataFrame) -> DataFrame:
             yield b.set_column(i, "text", pa.array(out, pa.string())).select(names)
 
     names = docs.columns
-    return both.select(*names, "spans").mapInArrow(run, docs.schema)
+    return both.mapInArrow(run, docs.schema)
 
 
 def op2_pii(spark, sf_dir: str) -> DataFrame:
