@@ -7,13 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.llm.common import column
 
 #: Vectors of a block of candidates and of queries.
 ROWS, QUERIES = 4096, 1024
+#: Queries whose heaps a task keeps at once.
+HEAPS = 100_000
 
 
 def blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
@@ -58,11 +60,35 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
 
 
-def tile(qi: np.ndarray, q: np.ndarray, ci: np.ndarray, c: np.ndarray, k: int) -> Iterator[tuple[int, list[tuple[float, int]]]]:
-    """The k nearest candidates of the block for each query, best first, ties to the smaller id.
+class Heap:
+    """The k nearest of a query so far: (score, -vec_id), the farthest first. An id counts once, with its best score."""
+
+    def __init__(self, k: int) -> None:
+        self.k, self.heap, self.best = k, [], {}
+
+    def floor(self) -> float:
+        return self.heap[0][0] if len(self.heap) == self.k else -np.inf
+
+    def add(self, score: float, i: int) -> None:
+        if i in self.best:
+            if score > self.best[i]:
+                self.best[i] = score
+                self.heap = [(s, -x) for x, s in self.best.items()]
+                heapq.heapify(self.heap)
+        elif len(self.heap) < self.k:
+            self.best[i] = score
+            heapq.heappush(self.heap, (score, -i))
+        elif (score, -i) > self.heap[0]:
+            self.best[i] = score
+            del self.best[-heapq.heappushpop(self.heap, (score, -i))[1]]
+
+
+def tile(qi: np.ndarray, q: np.ndarray, ci: np.ndarray, c: np.ndarray, heaps: dict[int, Heap], k: int) -> None:
+    """Puts into each query's heap what the block of candidates has for it.
 
     |u.v - u'.v'| <= |u - u'| + |v - v'| * |u'| for unit u, v and their int8 forms u', v': a pair whose product
-    plus that bound is below the k-th largest product minus its bound can't be among the nearest.
+    plus that bound is below the k-th largest product minus its bound, of as many different ids, can't be among the
+    nearest; nor can one below the k-th score that other blocks gave. Ties stay, as the smaller id goes first.
     """
     unit = lambda x: (y := x / np.abs(x).max(1)[:, None]) / np.linalg.norm(y, axis=1)[:, None]
     (a, sa, ea), (b, sb, eb) = quantised(unit(q)), quantised(unit(c))
@@ -72,25 +98,28 @@ def tile(qi: np.ndarray, q: np.ndarray, ci: np.ndarray, c: np.ndarray, k: int) -
     bound = ea[:, None] + eb[None, :] * (1 + ea[:, None]) + 1e-6
     own = qi[:, None] == ci[None, :]
     low, high = np.where(own, -np.inf, near - bound), np.where(own, -np.inf, near + bound)
+    order = np.argsort(ci, kind="stable")
+    first = np.flatnonzero(np.diff(ci[order], prepend=ci[order[:1]] - 1))
+    if len(first) < len(ci):  # the best of each id
+        low = np.maximum.reduceat(low[:, order], first, axis=1)
     n = min(k, low.shape[1])
     floor = np.partition(low, low.shape[1] - n, axis=1)[:, low.shape[1] - n]
+    mine = [heaps.setdefault(i, Heap(k)) for i in qi.tolist()]
+    floor = np.maximum(floor, np.array([h.floor() for h in mine]) - 1e-9)
     r, j = np.nonzero((high >= floor[:, None]) & ~own)
-    score = cosine(q[r], c[j]) if len(r) else np.zeros(0)
-    heaps: dict[int, list[tuple[float, int]]] = {}
-    for row, s, i in zip(r.tolist(), score.tolist(), ci[j].tolist(), strict=True):
-        heap = heaps.setdefault(row, [])
-        (heapq.heappush if len(heap) < k else heapq.heappushpop)(heap, (s, -i))
-    for row, heap in heaps.items():
-        yield int(qi[row]), [(s, -i) for s, i in sorted(heap, reverse=True)]
+    if len(r):
+        for row, s, i in zip(r.tolist(), cosine(q[r], c[j]).tolist(), ci[j].tolist(), strict=True):
+            mine[row].add(s, i)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, cross: int = 64) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k nearest vectors by cosine, other than its own id.
 
-    Each block of queries meets each block of candidates in a tile of its own; a query's results of all tiles are
-    merged by rank. All pairs are judged: recall is 1. Vectors that are null, empty, zero or hold null or
+    Each block of queries meets each block of candidates in a tile of its own. A task keeps a heap for each query
+    over all its tiles (of HEAPS queries at most; then they are sent and begun anew), and the heaps of all tasks are
+    ranked together. All pairs are judged: recall is 1. Vectors that are null, empty, zero or hold null or
     non-finite components, and those with a null id, take no part; vectors of another width don't meet. A query with
-    fewer candidates gets all. Repeated rows of an id count once. Further columns are passed over.
+    fewer candidates gets all. Repeated rows of an id count once, with the best score. Further columns are passed over.
     """
     c = blocks(vectors, ROWS, "c")
     # so many tasks share the candidates that meet one block of queries
@@ -100,17 +129,26 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, cross: int = 64)
     pairs = c.join(q, ["part", "width"]).select("q_ids", "q", "c_ids", "c", "width")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps: dict[int, Heap] = {}
         for b in batches:
             for qi, q, ci, c, w in zip(*(column(b, x) for x in ("q_ids", "q", "c_ids", "c", "width")), strict=True):
                 load = lambda x, w=w: np.frombuffer(x.as_py(), np.float64).reshape(-1, w.as_py())
-                rows = [(i, j, s) for i, best in tile(np.frombuffer(qi.as_py(), np.int64), load(q), np.frombuffer(ci.as_py(), np.int64), load(c), k) for s, j in best]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
+                tile(np.frombuffer(qi.as_py(), np.int64), load(q), np.frombuffer(ci.as_py(), np.int64), load(c), heaps, k)
+                if len(heaps) > HEAPS:
+                    yield sent(heaps)
+                    heaps.clear()
+        if heaps:
+            yield sent(heaps)
+
+    def sent(heaps: dict[int, Heap]) -> pa.RecordBatch:
+        rows = [(i, -j, s) for i, h in heaps.items() for s, j in h.heap]
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
     found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = best.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("at", "x")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "x.vec_id", (-F.col("x.far")).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_nearest(spark, sf_dir: str) -> DataFrame:
