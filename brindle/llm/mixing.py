@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,23 +14,44 @@ from brindle.llm.common import written
 #: Buckets of one histogram; each further round splits the boundary bucket into as many.
 BITS = 12
 ROUNDS = 5
-#: More sources than this are refused: their targets are worked out on the driver.
-MAX_SOURCES = 1_000_000
 
 
-def targets(sizes: Sequence[int], weights: Sequence[float], share: float, cap: float) -> list[float]:
-    """Targets in proportion to the weights that sum to share of all sizes, none above cap times its size.
-
-    Those that would go above their cap stop there, and the rest share what is left, until none is above.
+def ranked(sources: DataFrame, name: str) -> DataFrame:
+    """sources with sid, its place in the order of name by code point, null last, counted in two steps: within the
+    parts of a range partitioning, and of the parts before.
+    """
+    key = [F.col(name).isNull(), F.col(name)]
+    # the upper bits tell the part, the lower 33 the place in it
+    parts = written(sources.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    parts = parts.withColumn("part", F.shiftright("at", 33))
+    sizes = sorted(tuple(r) for r in parts.groupBy("part").count().collect())  # one for each part
+    before = [(p, n) for (p, _), n in zip(sizes, accumulate((n for _, n in sizes), initial=0), strict=False)]
+    offset = F.broadcast(sources.sparkSession.createDataFrame(before, "part long, before long"))
+    return parts.join(offset, "part").withColumn("sid", F.col("at").bitwiseAND((1 << 33) - 1) + F.col("before")).drop("part", "at", "before")
+
+
+def targeted(sources: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
+    """sources (sid, source_size) with target: in proportion to the weights, together share of all sizes, none above
+    cap times its size.
+
+    Those that would go above their cap stop there, and the rest share what is left, until none is above: rounds of
+    one aggregate each over the sources. A source that stopped stays so, as what is left for a weight only grows.
     """
-    capped = set()
-    while True:
-        left = share * sum(sizes) - sum(cap * sizes[i] for i in capped)
-        weight = sum(w for i, w in enumerate(weights) if i not in capped)
-        over = {i for i, w in enumerate(weights) if i not in capped and w * left / weight > cap * sizes[i]}
-        if not over:
-            return [cap * s if i in capped else weights[i] * left / weight for i, s in enumerate(sizes)]
-        capped |= over
+    turn = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod("sid", F.lit(len(weights))) + 1).cast("int"))
+    sources = sources.withColumn("weight", turn)
+    total = float(sources.agg(F.sum("source_size")).first()[0] or 0)
+    rate = lambda: F.col("weight") * F.lit(left) / F.lit(weight)
+    left, weight, above = share * total, float(sources.agg(F.sum("weight")).first()[0] or 0), -1
+    if not total:
+        return sources.withColumn("target", F.lit(0.0)).drop("weight")
+    while weight:
+        over = rate() > cap * F.col("source_size")
+        capped, n, rest = sources.agg(F.sum(F.when(over, F.col("source_size"))), F.count(F.when(over, 1)), F.sum(F.when(~over, F.col("weight")))).first()
+        if n == above:
+            break
+        above, left, weight = n, share * total - cap * float(capped or 0), float(rest or 0)
+    aim = F.when(over, cap * F.col("source_size")).otherwise(rate()) if weight else cap * F.col("source_size")
+    return sources.withColumn("target", aim).drop("weight")
 
 
 def bucket(k: int) -> Column:
@@ -51,16 +73,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
         docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("hash")),
         "mix-sizes",
     )
-    spark = docs.sparkSession
-    by_source = base.groupBy("source").agg(F.sum("size").alias("source_size")).limit(MAX_SOURCES + 1).collect()
-    if len(by_source) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    by_source.sort(key=lambda r: (r.source is None, r.source or ""))
-    sizes = [r.source_size for r in by_source]
-    aims = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, cap) if sum(sizes) else [0.0] * len(sizes)
-    times = [int(t // s) if s else 0 for t, s in zip(aims, sizes, strict=True)]
-    rows = [(r.source, i, s, float(t), k, int(t - k * s)) for i, (r, s, t, k) in enumerate(zip(by_source, sizes, aims, times, strict=True))]
-    plan = spark.createDataFrame(rows, "source string, sid int, source_size long, target double, times int, budget long")
+    by_source = ranked(base.groupBy("source").agg(F.sum("size").alias("source_size")), "source")
+    plan = targeted(by_source, weights, share, cap)
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    plan = written(plan.withColumn("times", times.cast("int")).withColumn("budget", (F.col("target") - F.col("times") * F.col("source_size")).cast("long")), "mix-targets")
 
     known = base.join(plan.select(F.col("source").alias("s"), "sid"), base.source.eqNullSafe(F.col("s"))).drop("s")
     open_docs, ends = known, plan.select("sid", "budget")
