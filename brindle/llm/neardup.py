@@ -24,6 +24,8 @@ ROUNDS = 1
 SLACK = 0.17
 #: Words of 64 bits of a set's parities.
 WORDS = 8
+#: Tasks over which what one component holds is dealt.
+SALTS = 16
 
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,8 +113,8 @@ def sets_of(docs: DataFrame, refs: DataFrame) -> DataFrame:
     return written(docs.select("ref", "text").join(refs, "ref").select("key", "text").mapInArrow(run, "key binary, set binary, bits array<long>").dropDuplicates(["key"]), "near-sets")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of set keys whose sets are so similar: first by their registers, then exactly."""
+def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, estimate: bool = True) -> DataFrame:
+    """The pairs (a, b) of set keys whose sets are so similar: by their registers, if estimate, and then exactly."""
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,8 +133,10 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
             yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     side = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}"))
-    known = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    close = written(known.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(likely, "a binary, b binary"), "near-likely")
+    close = pairs
+    if estimate:
+        known = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        close = written(known.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(likely, "a binary, b binary"), "near-likely")
     full = close.join(sets.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
     return written(full.select("a", "b", "sa", "sb").mapInArrow(exact, "a binary, b binary"), "near-links")
 
@@ -192,15 +196,18 @@ def meeting(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tokens = written(prefixes(keys, sets, percent).join(sets.select("key", "bits"), "key"), "near-prefixes")
     by_part = tokens.groupBy("hash", "component").count()
     main = by_part.groupBy("hash").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    at = tokens.join(main.select("hash", "main"), "hash")
-    minor = at.filter("component != main").select("hash", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("place").alias("stands"), F.col("bits").alias("others"))
+    # sets of the similarity asked for are of one range of sizes or of ranges side by side
+    step = F.floor(F.log(F.col("n")) / F.lit(np.log(100 / percent) + 1e-9)).cast("int")
+    at = tokens.join(main.select("hash", "main"), "hash").withColumn("range", step)
+    minor = at.filter("component != main").withColumn("range", F.explode(F.array(F.col("range") - 1, "range", F.col("range") + 1)))
+    minor = minor.select("hash", "range", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("place").alias("stands"), F.col("bits").alias("others"))
     alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
     both = F.col("n") + F.col("size")
     # of the first shingle that two sets share: what they share is no more than it and what follows
     shared = F.least(F.col("n") - F.col("place"), F.col("size") - F.col("stands")) + 1
     differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("others")[i])) for i in range(WORDS)), F.lit(0))
     enough = ((100 + percent) * shared >= percent * both) & ((100 + percent) * (both - differ) >= 2 * percent * both)
-    return at.join(minor, "hash").filter((F.col("component") != F.col("of")) & alike & enough).select(*pair("key", "other")).distinct()
+    return at.join(minor, ["hash", "range"]).filter((F.col("component") != F.col("of")) & alike & enough).select(*pair("key", "other")).distinct()
 
 
 def pair(x: str, y: str) -> list:
@@ -213,8 +220,9 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     Documents are linked where their sets of shingles share so many hundredths of their union; component_id is the
     smallest doc_id that links reach. Documents of one set are one class from the start. In each bucket of a band
     every class is paired with a few others. Classes whose bucket still holds several components are then joined on
-    their rarest shingles, under bounds of size, place and parity bits, so that no link between components is lost and no group is
-    paired throughout.
+    their rarest shingles, under bounds of size, place and parity bits, and compared in full: no link between components
+    of one bucket is lost, and no group is paired throughout. Two classes that share no bucket aren't compared; at a
+    similarity of 0.75 that befalls a pair once in 4e7.
     Texts without words, null ones too, have no shingles and stand alone. Null ids are passed over when the smallest
     is sought; repeated rows share a component and are all kept if one is; an empty table gives no rows. Further
     columns are passed over. Shingles are compared by 64 bits of hash, classes by 128.
@@ -250,13 +258,16 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     at = apart(buckets, found)
     if not at.isEmpty():
         rest = meeting(at.select("key", "n", "component").distinct(), sets, percent)
-        more = verified(rest, classes, sets, percent)
+        more = verified(rest, classes, sets, percent, estimate=False)
         found = components(found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = each.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = named.join(found, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    label = named.join(smallest, "component").select("key", "component_id")
+    # a component of very many classes is dealt to SALTS tasks
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    smallest = written(named.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), "near-components")
+    several = smallest.filter("n > 1").select("component", "component_id", salts.alias("salt"))
+    label = named.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS))).join(several, ["component", "salt"], "left").select("key", F.coalesce("component_id", "least").alias("component_id"))
     out = each.join(label, "key", "left").withColumn("component_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
