@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.common import column, written
-from brindle.llm.quality import held_out, sampled
-
-WORD = re.compile(r"[^\W\d_]+")
-#: Bounds of the training sample (by a hash of doc_id) and of the words that the classifiers see.
-MAX_POSITIVE, MAX_UNLABELLED, MAX_TERMS, MIN_DOCS = 4_000, 8_000, 300, 5
-#: A term is a word or, with a dash at its end, the beginning of longer ones, of these lengths.
+from brindle.llm.quality import held_out
+
+#: Words are runs of letters: ASCII bytes but letters part them, and so do other characters that no word holds.
+PARTS = bytes(c if chr(c).isalpha() or c >= 0x80 else 0x20 for c in range(256))
+OTHER = re.compile(r"[^\x00-\x7F\w]+")
+#: Bounds of the sample that fits (by a hash of doc_id) and of the terms that the classifiers see. Terms are chosen by
+#: counts over all documents that may be learnt from.
+MAX_POSITIVE, MAX_UNLABELLED, MAX_TERMS, MIN_DOCS = 8_000, 16_000, 300, 5
+#: A term is a word or, with a dash at its end, the beginning of longer ones, of so many bytes.
 STEMS = (4, 5, 6)
 #: The share of a text's words at which a term counts by half: where terms are chosen, and in the two inputs that a
 #: classifier has for each, the first nearly whether the term is there at all.
@@ -27,114 +30,175 @@ HALF, LOW, HIGH = 0.004, 0.0005, 0.01
 MODELS, EPOCHS, RATE, DECAY = 3, 600, 0.1, 1e-4
 
 
-def counts(text: str | None, vocabulary: dict[str, int] | None = None) -> tuple[dict, int]:
-    """How often the text holds each term (of those in the vocabulary, by number), and its number of words."""
+class Terms(dict):
+    """The terms of each word; of those in a vocabulary, if there is one, the numbers, and which words have any."""
+
+    MOST = 1 << 18
+
+    def __init__(self, vocabulary: dict[bytes, int] | None = None) -> None:
+        super().__init__()
+        self.vocabulary, self.having = vocabulary, set()
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self) >= self.MOST:
+            self.clear()
+            self.having.clear()
+        for word in words - self.keys():
+            found = (word, *(word[:c] + b"-" for c in STEMS if len(word) > c))
+            if self.vocabulary is not None:
+                found = tuple(self.vocabulary[t] for t in found if t in self.vocabulary)
+            self[word] = found
+            if found:
+                self.having.add(word)
+
+
+def counts(text: str | None, terms: Terms) -> tuple[dict, int]:
+    """How often the text holds each term, and its number of words."""
     count: dict = defaultdict(int)
-    found = Counter(WORD.findall((text or "").lower()))
-    for w, k in found.items():
-        for t in (w, *(f"{w[:c]}-" for c in STEMS if len(w) > c)):
-            if vocabulary is None:
-                count[t] += k
-            elif (i := vocabulary.get(t)) is not None:
-                count[i] += k
-    return count, sum(found.values())
+    words = OTHER.sub(" ", (text or "").lower()).encode().translate(PARTS).split()
+    found = Counter(words)
+    terms.learn(set(found))
+    for w in found.keys() & terms.having:
+        k = found[w]
+        for t in terms[w]:
+            count[t] += k
+    return count, len(words)
 
 
-def inputs(text: str | None, vocabulary: dict[str, int]) -> dict[int, float]:
-    count, n = counts(text, vocabulary)
-    return {i + len(vocabulary) * high: k / (k + (HIGH if high else LOW) * n) for i, k in count.items() for high in (0, 1)}
+def inputs(text: str | None, terms: Terms) -> np.ndarray:
+    """Two inputs for each term of the vocabulary, and a 1 for the bias."""
+    count, n = counts(text, terms)
+    width = len(terms.vocabulary)
+    x = np.zeros(2 * width + 1, np.float32)
+    at, k = np.fromiter(count.keys(), np.int64, len(count)), np.fromiter(count.values(), np.float64, len(count))
+    x[at], x[at + width], x[-1] = k / (k + LOW * n), k / (k + HIGH * n), 1
+    return x
 
 
-def ragged(rows: list[dict[int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Columns and values of all rows one after another, and the row of each."""
-    return np.array([i for r in rows for i in r], np.int64), np.array([x for r in rows for x in r.values()]), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def chances(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(positive: list[dict], unlabelled: list[dict], width: int, prior: float) -> np.ndarray:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndarray:
     """Weights (the last is the bias) that minimise the non-negative risk of the logistic loss by Adam.
 
     risk = prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]); where the second part is below 0, the step
     goes up it instead, so that the classifier doesn't fit unlabelled examples as negatives beyond the prior.
     """
-    (pi, px, pr), (ui, ux, ur) = ragged(positive), ragged(unlabelled)
-    np_, nu = max(len(positive), 1), max(len(unlabelled), 1)
-    w, m, v = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
+    width = positive.shape[1]
+    w, m, v = np.zeros(width), np.zeros(width), np.zeros(width)
     w[-1] = np.log(prior / (1 - prior))
-    logit = lambda i, x, r, n: np.bincount(r, w[i] * x, n) + w[-1]
-    grad = lambda i, x, r, g: np.append(np.bincount(i, g[r] * x, width), g.sum())
     for t in range(1, EPOCHS + 1):
-        zp, zu = logit(pi, px, pr, np_), logit(ui, ux, ur, nu)
-        sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_negative = grad(ui, ux, ur, su) / nu - prior * grad(pi, px, pr, sp) / np_
-        g = prior * grad(pi, px, pr, sp - 1) / np_ + of_negative if negative >= 0 else -of_negative
+        zp, zu = positive @ w.astype(np.float32), unlabelled @ w.astype(np.float32)
+        negative = np.logaddexp(0, zu, dtype=np.float64).mean() - prior * np.logaddexp(0, zp, dtype=np.float64).mean()
+        sp, su = chances(zp), chances(zu)
+        of_negative = (su @ unlabelled) / len(zu) - prior * (sp @ positive) / len(zp)
+        g = prior * ((sp - 1) @ positive) / len(zp) + of_negative if negative >= 0 else -of_negative
+        g = g.astype(np.float64)
         g[:-1] += DECAY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
 
 
+def parting(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """The logit from which on missed positives and flagged negatives, each as a share of its class, are fewest; the
+    negatives' share is that of unlabelled text without what the prior puts down to positives.
+    """
+    at = np.unique(positive)
+    missed = np.searchsorted(np.sort(positive), at) / len(positive)
+    flagged = 1 - np.searchsorted(np.sort(unlabelled), at) / len(unlabelled)
+    loss = missed + np.maximum(flagged - prior * (1 - missed), 0) / (1 - prior)
+    best = np.flatnonzero(loss <= loss.min() + 1e-9)
+    return float(at[best[len(best) // 2]])
+
+
+def told(texts: DataFrame) -> DataFrame:
+    """term, p, u and docs: what each term weighs in the positives (p = 1) and in all texts, and how many hold it."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by, terms = {}, Terms()
+        for b in batches:
+            for p, t in zip(column(b, "p").to_pylist(), column(b, "text"), strict=True):
+                count, words = counts(t.as_py(), terms)
+                for term, k in count.items():
+                    weight = k / (k + HALF * words)
+                    got = by.get(term)
+                    if got is None:
+                        by[term] = [weight * p, weight, 1]
+                    else:
+                        got[0] += weight * p
+                        got[1] += weight
+                        got[2] += 1
+            if len(by) > 200_000:
+                yield sent(by)
+                by = {}
+        if by:
+            yield sent(by)
+
+    def sent(by: dict) -> pa.RecordBatch:
+        p, u, n = zip(*by.values(), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(by, pa.binary()), pa.array(p, pa.float64()), pa.array(u, pa.float64()), pa.array(n, pa.int64())], names=["term", "p", "u", "docs"])
+
+    return texts.mapInArrow(sums, "term binary, p double, u double, docs long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("u").alias("u"), F.sum("docs").alias("docs"))
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: int = 3, rest: int = 1) -> DataFrame:
     """doc_id, held_out, score and predicted of each document.
 
-    Confirmed toxic documents outside the held-out remainder are the positives; other documents outside it are
-    unlabelled text. The class prior is the share of toxic labels there. The classifiers see how
-    often a whole text holds each of MAX_TERMS words and beginnings of words whose weight differs most between the
-    two samples. Null labels don't
-    count; a document with several labels is positive if one is. Null and empty texts have no words and score as
-    the bias says. Without positives the score is 0, or 1 if all labels are toxic. Repeated rows are scored each;
-    an empty table gives no rows. Further columns are passed over.
+    Confirmed toxic documents outside the held-out remainder are the positives; a draw of all documents outside it,
+    confirmed ones too, is the unlabelled text. The class prior is the share of toxic labels there. Each classifier's
+    bias puts the threshold where it parts the quarter of the sample that it wasn't fitted on best. The classifiers see
+    how often a whole text holds each of MAX_TERMS words and beginnings of words: those whose weight differs most
+    between the positives and all documents that may be learnt from. Null labels don't count; a document with several
+    labels is positive if one is. Null and empty texts have no words and score as the bias says. Without positives the
+    score is 0, or 1 if all labels are toxic. Repeated rows are scored each; an empty table gives no rows. Further
+    columns are passed over.
     """
     known = labels.filter(F.col("toxic").isNotNull() & ~held_out(mod, rest))
     prior = known.agg(F.avg("toxic")).first()[0]
     vocabulary, models = {}, []
     if prior and prior < 1:
-        confirmed = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1")
-        positive = sampled(confirmed.select("doc_id"), MAX_POSITIVE)
-        text = docs.select("doc_id", "text").filter(~held_out(mod, rest))
-        other = sampled(text.join(confirmed, "doc_id", "left_anti").select("doc_id"), MAX_UNLABELLED).distinct()
-        chosen = positive.withColumn("p", F.lit(1)).unionByName(other.withColumn("p", F.lit(0)))
-
-        sample = written(text.join(chosen, "doc_id").select("doc_id", "p", "text"), "toxicity-sample")
-        n = sample.agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("u")).first()
-        if n.p and n.u:
+        confirmed = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1").select("doc_id", F.lit(1).alias("p"))
+        learnt = docs.select("doc_id", "text").filter(~held_out(mod, rest)).join(confirmed, "doc_id", "left").select("doc_id", "text", F.coalesce("p", F.lit(0)).alias("p"))
+        n = learnt.agg(F.sum("p").alias("p"), F.count(F.lit(1)).alias("u")).first()
+        if n.p:
+            apart = F.abs(F.col("p") / n.p - F.col("u") / n.u) / F.sqrt((F.col("p") + F.col("u")) / (n.p + n.u) + 1 / n.p)
+            top = told(learnt.select("p", "text")).filter(F.col("docs") >= MIN_DOCS).orderBy(apart.desc(), "term").limit(MAX_TERMS).select("term").collect()
+            vocabulary = {bytes(r.term): i for i, r in enumerate(top)}
 
-            def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                terms = Terms(vocabulary)
                 for b in batches:
-                    by: dict = defaultdict(lambda: [0.0, 0.0, 0])
-                    for p, t in zip(column(b, "p").to_pylist(), column(b, "text"), strict=True):
-                        count, words = counts(t.as_py())
-                        for term, k in count.items():
-                            got = by[term]
-                            got[1 - p] += k / (k + HALF * words)
-                            got[2] += 1
-                    p, u, docs_ = zip(*by.values(), strict=True) if by else ((), (), ())
-                    yield pa.RecordBatch.from_pydict({"term": list(by), "p": pa.array(p, pa.float64()), "u": pa.array(u, pa.float64()), "docs": pa.array(docs_, pa.int64())})
-
-            by = sample.mapInArrow(sums, "term string, p double, u double, docs long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("u").alias("u"), F.sum("docs").alias("docs"))
-            apart = F.abs(F.col("p") / n.p - F.col("u") / n.u) / F.sqrt((F.col("p") + F.col("u")) / (n.p + n.u) + 1 / n.p)
-            top = by.filter(F.col("docs") >= MIN_DOCS).orderBy(apart.desc(), "term").limit(MAX_TERMS).select("term").collect()
-            vocabulary = {r.term: i for i, r in enumerate(top)}
+                    x = [inputs(t.as_py(), terms).tobytes() for t in column(b, "text")]
+                    yield pa.RecordBatch.from_arrays([column(b, "part"), column(b, "p"), column(b, "drawn"), pa.array(x, pa.binary())], names=["part", "p", "drawn", "x"])
 
             def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-                rows = [inputs(t, vocabulary) for t in pdf.text]
-                p = pdf.p.to_numpy() == 1
-                w = fit([r for r, x in zip(rows, p, strict=True) if x], [r for r, x in zip(rows, p, strict=True) if not x], 2 * len(vocabulary), prior)
+                """Fits on all parts but one, and puts the score that parts best there at the threshold."""
+                x, p, u = np.stack([np.frombuffer(x, np.float32) for x in pdf.x]), pdf.p.to_numpy() == 1, pdf.drawn.to_numpy()
+                own = pdf.part.to_numpy() == key[0]
+                if not (p & ~own).any() or not (u & ~own).any():
+                    return pd.DataFrame({"w": [[0.0] * (x.shape[1] - 1) + [float(np.log(prior / (1 - prior)))]]})
+                w = fit(x[p & ~own], x[u & ~own], prior)
+                if (p & own).any() and (u & own).any():
+                    w[-1] += np.log(threshold / (1 - threshold)) - parting(x[p & own] @ w, x[u & own] @ w, prior)
                 return pd.DataFrame({"w": [w.tolist()]})
 
-            part = F.pmod(F.xxhash64("doc_id", F.lit("bag")), F.lit(MODELS + 1))
-            dealt = sample.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(MODELS - 1)))).filter(part != F.col("model"))
+            draw = lambda salt, most, of: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(1e6 * min(1, most / of))
+            part = F.pmod(F.xxhash64("doc_id", F.lit("bag")), F.lit(MODELS + 1)).cast("int")
+            sample = learnt.select("text", part.alias("part"), ((F.col("p") == 1) & draw("positive", MAX_POSITIVE, n.p)).cast("int").alias("p"), draw("unlabelled", MAX_UNLABELLED, n.u).alias("drawn")).filter("p = 1 or drawn")
+            sample = written(sample.mapInArrow(vectors, "part int, p int, drawn boolean, x binary"), "toxicity-sample")
+            dealt = sample.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(MODELS - 1))))
             models = [np.array(r.w) for r in dealt.groupBy("model").applyInPandas(train, "w array<double>").collect()]
     constant = float(prior or 0)
-    stack = np.stack(models) if models else None
+    stack = np.stack(models, 1) if models else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(vocabulary)
         for b in batches:
             out = np.full(b.num_rows, constant)
-            if stack is not None:
-                for i, t in enumerate(column(b, "text")):
-                    x = inputs(t.as_py(), vocabulary)
-                    out[i] = (1 / (1 + np.exp(-np.clip(stack[:, list(x)] @ np.array(list(x.values())) + stack[:, -1], -30, 30)))).mean()
+            if stack is not None and b.num_rows:
+                out = chances(np.stack([inputs(t.as_py(), terms) for t in column(b, "text")]) @ stack).mean(1)
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(out)], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
