@@ -35,7 +35,7 @@ def statistics(text: str | None) -> np.ndarray:
     return np.array([
         np.log1p(len(raw)), np.log1p(len(words)), len(raw) / w, len(set(words)) / w, sum(map(eq, words, words[1:])) / w,
         len(set(lines)) / len(lines), len(lines) / w, by[48:58].sum(), by[65:91].sum(), by[97:123].sum(), by[128:].sum(), by[32], by[46], by[44],
-        *(by[c] for c in SYMBOLS[:7]), by[list(SYMBOLS)].sum(), len(set(words[:200])) / max(min(w, 200), 1), sum(x[0].isupper() for x in words) / w,
+        *(by[c] for c in SYMBOLS[:7]), by[list(SYMBOLS)].sum(), sum(len(set(words[a : a + 200])) for a in range(0, len(words), 200)) / w, sum(x[0].isupper() for x in words) / w,
     ], np.float64)
 
 
