@@ -64,4 +64,17 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op10_substring": SUBSTRING}
+#: DuckDB has no SHA-1 in base 32: its hex digits are turned into five-bit groups by way of bits.
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT html, max(page_id) AS response FROM p GROUP BY html HAVING count(*) > 1),
+s AS (SELECT page_id, html, sha1(html) AS h FROM p),
+bits AS (SELECT page_id, html, array_to_string([right('000' || bin(strpos('0123456789abcdef', substr(h, i, 1)) - 1), 4) FOR i IN range(1, 41)], '') AS b FROM s)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT), 1) FOR i IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id < response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < response THEN response END AS refers_to
+FROM bits LEFT JOIN r USING (html)
+"""
+
+ORACLE_SQL = {"op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op9_warc": WARC, "op10_substring": SUBSTRING}
