@@ -11,19 +11,19 @@ from brindle.llm.common import joined, table, written
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learnt from the labels of these, doesn't reject."""
+    """Documents that the quality classifier, learnt from the labels of these, doesn't reject: those that are likelier
+    good than not, so that clean documents on which it is unsure stay.
+    """
     found = quality.classify(docs, table(spark, sf_dir, "labels"), threshold=0.5)
     return joined(docs, found.filter("predicted = 1"), "left_semi")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest doc_id."""
-    found = neardup.groups(docs)
-    twice = found.filter("kept").groupBy("doc_id", "text_hash").count().filter("count > 1")
-    kept = joined(docs, found.filter("kept"), "left_semi")
-    if twice.isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])  # repeated rows
+    found = written(neardup.groups(docs).filter("kept").select("doc_id", "text_hash"), "near-kept")
+    kept = joined(docs, found, "left_semi")
+    # repeated rows share their id, so that all of them are kept by it: one stays. Without any, no text is shuffled
+    return kept if found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,12 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the words of each that it takes, repeats counted."""
-    return joined(docs, mixing.mix(docs).filter("taken > 0"), "inner", ["size", "source_size", "target", "taken"])
+    """The documents that the mix takes, with the words of each that it takes, repeats counted. Columns of these names
+    that the documents have themselves give way.
+    """
+    own = {k: k for k in ("size", "source_size", "target", "taken")}
+    docs = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in own])
+    return joined(docs, mixing.mix(docs).filter("taken > 0"), "inner", own)
 
 
 STAGES = [("quality", good), ("near_dedup", distinct), ("decontaminate", clean), ("pii", private), ("mixing", mixed)]
