@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a block, and about how many of a bucket.
-BLOCK, BUCKET = 1 << 20, 1 << 19
+BLOCK, BUCKET = 1 << 19, 1 << 20
 #: Different stretches of one seed that a block sends to the seed's bucket; further ones are taken as open.
 FEW = 8
 #: Different stretches of a seed beyond which its windows are compared one by one.
@@ -68,7 +68,14 @@ def unplaned(data: bytes, kind: type, n: int) -> np.ndarray:
 
 
 def deltas(x: np.ndarray) -> bytes:
-    return planes(np.diff(x, prepend=x.dtype.type(0)))
+    """Differences, the sign in the lowest bit, so that high bytes are 0."""
+    d = np.diff(x, prepend=x.dtype.type(0))
+    return planes((d << 1) ^ (d >> (8 * d.itemsize - 1)))
+
+
+def undone(data: bytes, kind: type, n: int) -> np.ndarray:
+    d = unplaned(data, kind, n)
+    return np.cumsum((d >> 1) ^ -(d & 1), dtype=np.int64)
 
 
 ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), *((k, pa.binary()) for k in ("docs", *Entries._fields[1:], "refs"))])
@@ -83,8 +90,7 @@ def packed(bucket: int, block: int, e: Entries) -> dict:
 def unpacked(row: dict, number: int) -> Entries:
     """The entries, each with the number of the row's block in the upper half of its ref."""
     n = row["n"]
-    doc = np.cumsum(unplaned(row["docs"], np.int32, n), dtype=np.int64)
-    return Entries(doc | (number << 32), unplaned(row["hash"], np.uint64, n), unplaned(row["more"], np.uint64, n), np.cumsum(unplaned(row["value"], np.int64, n)), np.frombuffer(row["flag"], np.uint8))
+    return Entries(undone(row["docs"], np.int32, n) | (number << 32), unplaned(row["hash"], np.uint64, n), unplaned(row["more"], np.uint64, n), undone(row["value"], np.int64, n), np.frombuffer(row["flag"], np.uint8))
 
 
 def bits_for(n: int) -> int:

@@ -251,7 +251,7 @@ def remove(docs: DataFrame, size: int, gram: int, digest: bool = False) -> DataF
     spans are the maximal runs of words that go, end exclusive. Null texts are empty; texts shorter than a window
     lose nothing; repeated rows are copies of each other and lose all that windows cover; an empty table gives no
     rows. Further columns are passed over. Anchors and stretches are compared by 64 bits of hash each, extended words
-    and windows by 64 bits; size is below 4,096.
+    by 64, windows by 80; size is below 4,096.
     """
     kind = dict(docs.dtypes)["doc_id"]
     docs = numbered(docs)
@@ -350,7 +350,7 @@ def remove(docs: DataFrame, size: int, gram: int, digest: bool = False) -> DataF
                     s = sums(word_units(inflated(z, n)))
                     for x, y, m in zip(lo[wide], hi[wide], mark[wide], strict=True):
                         at = np.arange(x, y + 1)
-                        yield entries(ref, hashes(s, at, at + size), hashes(s, at, at + size // 2) >> np.uint64(32), at, int(not m & WHOLE))
+                        yield entries(ref, hashes(s, at, at + size), hashes(s, at, at + size // 2) >> np.uint64(48), at, int(not m & WHOLE))
 
     # a seed's runs together and in order, however many seeds a task has
     near = gathered(open_texts, contexts, "seed long, ref long, at int, before int, words binary").repartition("seed").sortWithinPartitions("seed")

@@ -85,8 +85,8 @@ def remove(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
     A byte goes if a string of ``size`` bytes (8 at least) that covers it also starts anywhere else, in any text or the
     same one; spans are the maximal runs of bytes that go, end exclusive. Null texts are empty; texts shorter than a
     window lose nothing; repeated rows are copies of each other and lose all that windows cover; an empty table gives
-    no rows. Further columns are passed over. Names are compared by 64 bits of hash, stretches by 64 under them, windows
-    by 96.
+    no rows. Further columns are passed over. Names are compared by 48 and 40 bits of hash, which do as a filter;
+    stretches by 64 under a name, windows by 80.
     """
     period, sampled = cover_for(size)
     kind = dict(docs.dtypes)["doc_id"]
@@ -132,7 +132,7 @@ def remove(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
                 lo, hi = reach(p, n, size, period)
                 name = mixed(named(data, p, p + period) * np.uint64(BASE) + named(data, p + period, p + 2 * period))
                 stretch = mixed(named(data, lo, hi + size) + (hi - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (p - lo).astype(np.uint64) * np.uint64(BASE))
-                yield entries(ref, name, stretch, p << 3, int(bool(copy)))
+                yield entries(ref, name & ~np.uint64(0xFFFFFF), stretch, p << 3, int(bool(copy)))
 
     marks = met(open_texts.select("ref", "z", "n_bytes", "todo", "copy"), pairs, block_stretches, judge_stretches, bits)
 
@@ -167,7 +167,7 @@ def remove(docs: DataFrame, size: int, digest: bool = False) -> DataFrame:
                 for found, ask in ((asks, 1), (tells, 0)):
                     if found:
                         at = np.concatenate([np.arange(x["start"], x["end"]) for x in found])
-                        yield entries(ref, named(data, at, at + size), named(data, at, at + size // 2) >> np.uint64(32), at, ask)
+                        yield entries(ref, named(data, at, at + size), named(data, at, at + size // 2) >> np.uint64(48), at, ask)
 
     starts = met(late.filter("z is not null").select("ref", "z", "n_bytes", "asks", "tells"), suffixes, block_repeats, judge_repeats, bits)
 
