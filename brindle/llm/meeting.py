@@ -82,6 +82,10 @@ ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int32()
 ROW_SQL = "bucket int, block long, n int, " + ", ".join(f"{f.name} binary" for f in list(ROW)[3:])
 
 
+ANSWER = pa.schema([("block", pa.int64()), ("n", pa.int32()), ("docs", pa.binary()), ("value", pa.binary()), ("refs", pa.binary())])
+ANSWER_SQL = "block long, n int, docs binary, value binary, refs binary"
+
+
 def packed(bucket: int, block: int, e: Entries) -> dict:
     """A row of entries, whose ref is the document's number in the block."""
     return {"bucket": bucket, "block": block, "n": len(e.ref), "docs": deltas(e.ref.astype(np.int32)), "hash": planes(e.hash), "more": planes(e.more), "value": deltas(e.value), "flag": e.flag.tobytes()}
@@ -136,44 +140,57 @@ def met(df: DataFrame, found: Callable, block: Callable, judge: Callable, bits:
             yield pa.RecordBatch.from_pylist(out[at : at + 64], ROW)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Answers to each block: documents' numbers and values; and the blocks' documents as they came."""
         held, numbers, now = [], [], None
         for b in batches:
             for row in b.to_pylist():
                 if row["bucket"] != now and held:
-                    yield from lists(numbers, *judge(joined(held)))
+                    yield answers(numbers, *judge(joined(held)))
                     held, numbers = [], []
                 now = row["bucket"]
-                if row["refs"] is not None:
-                    yield documents(row)
-                elif now >= 1 << bits:
-                    e = unpacked(row, 0)
-                    yield from lists([row["block"]], e.ref, e.value)
+                if now >= 1 << bits:
+                    yield pa.RecordBatch.from_pylist([{k: row[k] for k in ANSWER.names}], ANSWER)
                 else:
                     held.append(unpacked(row, len(numbers)))
                     numbers.append(row["block"])
         if held:
-            yield from lists(numbers, *judge(joined(held)))
-
-    def documents(row: dict) -> pa.RecordBatch:
-        n = row["n"]
-        empty = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), pa.array([], pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, row["block"])), pa.array(np.arange(n)), pa.array(np.frombuffer(row["refs"], np.int64)), empty], names=["block", "doc", "ref", "values"])
-
-    def lists(numbers: list[int], ref: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(ref):
-            order = np.lexsort((value, ref))
-            refs, first = np.unique(ref[order], return_index=True)
-            offset = np.append(first, len(ref)).astype(np.int32)
-            of = np.array(numbers, np.int64)[refs >> 32]
-            whole = pa.RecordBatch.from_arrays([pa.array(of), pa.array(refs & 0xFFFFFFFF), pa.nulls(len(refs), pa.int64()), pa.ListArray.from_arrays(pa.array(offset), pa.array(value[order]))], names=["block", "doc", "ref", "values"])
-            for at in range(0, len(refs), 10_000):
-                yield whole.slice(at, 10_000)
+            yield answers(numbers, *judge(joined(held)))
+
+    def answers(numbers: list[int], ref: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((value, ref))
+        ref, value = ref[order], value[order]
+        cut = [0, *(np.flatnonzero(np.diff(ref >> 32)) + 1).tolist(), len(ref)]
+        parts = [(numbers[int(ref[a] >> 32)], (ref[a:b] & 0xFFFFFFFF).astype(np.int32), value[a:b]) for a, b in zip(cut, cut[1:], strict=False) if b > a]
+        return pa.RecordBatch.from_pylist([{"block": k, "n": len(doc), "docs": deltas(doc), "value": deltas(v)} for k, doc, v in parts], ANSWER)
+
+    def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """ref and values of each document of a block that has any."""
+        held, now = [], None
+        for b in batches:
+            for row in b.to_pylist():
+                if row["block"] != now and held:
+                    yield from lists(held)
+                    held = []
+                now = row["block"]
+                held.append(row)
+        if held:
+            yield from lists(held)
+
+    def lists(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        refs = next(np.frombuffer(r["refs"], np.int64) for r in rows if r["refs"] is not None)
+        rows = [r for r in rows if r["refs"] is None]
+        if rows:
+            doc, value = (np.concatenate([undone(r[k], kind, r["n"]) for r in rows]) for k, kind in (("docs", np.int32), ("value", np.int64)))
+            order = np.lexsort((value, doc))
+            docs, first = np.unique(doc[order], return_index=True)
+            whole = pa.RecordBatch.from_arrays([pa.array(refs[docs]), pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(value[order]))], names=["ref", "values"])
+            for at in range(0, len(docs), 1_000):
+                yield whole.slice(at, 1_000)
 
     dealt = df.mapInArrow(make, ROW_SQL).repartition("bucket").sortWithinPartitions("bucket")
-    told = dealt.mapInArrow(meet, "block long, doc long, ref long, values array<long>")
-    gather = F.flatten(F.collect_list("values")).alias("values")
-    told = told.groupBy("block", "doc").agg(F.max("ref").alias("ref"), gather).filter(F.size("values") > 0)
-    return told.groupBy("ref").agg(gather)
+    told = dealt.mapInArrow(meet, ANSWER_SQL).repartition("block").sortWithinPartitions("block")
+    # a document may be in several blocks
+    return told.mapInArrow(collected, "ref long, values array<long>").groupBy("ref").agg(F.flatten(F.collect_list("values")).alias("values"))
 
 
 def block_repeats(e: Entries) -> tuple[Entries, tuple[np.ndarray, np.ndarray]]:

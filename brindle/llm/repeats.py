@@ -102,7 +102,7 @@ def text_bytes(x: pa.Scalar) -> bytes:
 
 
 def deflated(data: bytes) -> bytes:
-    return pa.compress(data, codec="zstd", asbytes=True)
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
 
 
 def inflated(z: bytes, n: int) -> bytes:
