@@ -28,7 +28,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 #: Starts that are taken at once; a longer text is taken in pieces that overlap by a window.
 CHUNK = 1 << 18
 #: Runs that are extended at once; those of one anchor always are.
-EXTENDED = 50_000
+EXTENDED = 10_000
 #: Tasks over which copies of one text are dealt when they are told.
 SALTS = 16
 SPACES = np.zeros(256, bool)
