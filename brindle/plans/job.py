@@ -39,12 +39,15 @@ def run(df: DataFrame, column: str = "SRC", order_by: Sequence[str] | None = Non
     """
     snapshot = bounded(df, READ_ROWS, order_by).cache()
     try:
-        print(f"rows: {snapshot.count()}")
+        print(f"== as read ==\nrows: {snapshot.count()}")
         snapshot.printSchema()
         preview(snapshot).show(truncate=False)
         out = lower_columns(snapshot, [column])
+        found = column in out.columns
+        print(f"== with {column} in lower case ==" if found else f"== without a column {column}: unchanged ==")
         preview(out).show(truncate=False)
-        if column in out.columns:
+        if found:
+            print(f"== {column} alone ==")
             preview(out.select(f"`{column}`")).show(truncate=False)
         # what is returned keeps the same rows once the cache is gone
         return df.sparkSession.createDataFrame(out.collect(), out.schema)
@@ -61,11 +64,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     a = p.parse_args(argv)
     with session() as spark:
         if a.parquet:
-            spec = TableSpec("parquet", path=a.parquet)
+            spec, target = TableSpec("parquet", path=a.parquet), a.parquet
         else:
             s = load_settings(os.environ, a.env_file)
             options = s.reader_options(key_options(s.get("KEY_PATH"), s.get("KEY_PASSPHRASE")))
             spec = warehouse_spec(options, s.get("DATABASE"), s.get("SCHEMA"), s.get("TABLE"), READ_ROWS)
+            target = f"{s.get('DATABASE')}.{s.get('SCHEMA')}.{s.get('TABLE')} at {s.url}"
+        print(f"reading {target}")
         run(read_table(spark, spec), a.column, a.order_by)
 
 

@@ -18,6 +18,12 @@ def _part50(spark: SparkSession, d: str) -> DataFrame:
     return bounded(table(spark, d, "part"), order_by=["p_partkey"])
 
 
+def _lineitem50(spark: SparkSession, d: str) -> DataFrame:
+    """Its keys repeat, so all columns tell the rows' order."""
+    rows = table(spark, d, "lineitem")
+    return bounded(rows, order_by=rows.columns)
+
+
 def _lower50(spark: SparkSession, d: str) -> DataFrame:
     return lower_columns(_part50(spark, d), ["p_brand"])
 
@@ -25,13 +31,15 @@ def _lower50(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "scan_full": lambda s, d: table(s, d, "nation"),
     "scan_limit_topk": _part50,
+    "scan_limit_topk_lineitem": _lineitem50,
     "row_count": lambda s, d: row_count(_part50(s, d)),
     "row_count_short": lambda s, d: row_count(bounded(table(s, d, "region"), order_by=["r_regionkey"])),
     "preview20": lambda s, d: preview(_part50(s, d), order_by=["p_partkey"]),
     "lower_in_place": _lower50,
     "lower_project": lambda s, d: _lower50(s, d).select("p_brand"),
-    "lower_numeric": lambda s, d: lower_columns(_part50(s, d).withColumn("p_size", F.col("p_size").cast("string")), ["p_size"]),
+    "lower_numeric": lambda s, d: lower_columns(_part50(s, d), ["p_size"]),
     "lower_json": lambda s, d: lower_columns(table(s, d, "events").select("event_id", "props"), ["props"]),
+    "lower_json_changed": lambda s, d: lower_columns(table(s, d, "events").select("event_id", F.upper("props").alias("props")), ["props"]),
     "lower_unicode": lambda s, d: lower_columns(table(s, d, "documents"), ["text"]),
     "missing_col": lambda s, d: lower_columns(bounded(table(s, d, "nation"), order_by=["n_nationkey"]), ["SRC"]),
     "preview_lower": lambda s, d: preview(_lower50(s, d), order_by=["p_partkey"]),
@@ -45,6 +53,7 @@ _LOWER50 = "SELECT p_partkey, p_name, lower(p_brand) AS p_brand, p_type, p_size,
 ORACLE_SQL = {
     "scan_full": "SELECT * FROM nation",
     "scan_limit_topk": _PART50,
+    "scan_limit_topk_lineitem": "SELECT * FROM lineitem ORDER BY ALL LIMIT 50",
     "row_count": f"SELECT count(*) AS row_count FROM ({_PART50})",
     "row_count_short": "SELECT count(*) AS row_count FROM (SELECT * FROM region ORDER BY r_regionkey LIMIT 50)",
     "preview20": f"SELECT * FROM ({_PART50}) ORDER BY p_partkey LIMIT 20",
@@ -52,6 +61,7 @@ ORACLE_SQL = {
     "lower_project": "SELECT lower(p_brand) AS p_brand FROM part ORDER BY p_partkey LIMIT 50",
     "lower_numeric": "SELECT p_partkey, p_name, p_brand, p_type, lower(CAST(p_size AS VARCHAR)) AS p_size, p_retailprice FROM part ORDER BY p_partkey LIMIT 50",
     "lower_json": "SELECT event_id, lower(props) AS props FROM events",
+    "lower_json_changed": "SELECT event_id, lower(upper(props)) AS props FROM events",
     "lower_unicode": "SELECT doc_id, lower(text) AS text, lang, source, n_chars FROM documents",
     "missing_col": "SELECT * FROM nation ORDER BY n_nationkey LIMIT 50",
     "preview_lower": f"SELECT * FROM ({_LOWER50}) ORDER BY p_partkey LIMIT 20",

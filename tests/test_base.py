@@ -7,7 +7,7 @@ from brindle.functions import lower_columns
 from brindle.operators import bounded, preview, row_count
 from brindle.plans import credentials
 from brindle.plans.config import load_settings, parse_env
-from brindle.plans.job import run
+from brindle.plans.job import main, run
 from brindle.plans.queries import ORACLE_SQL, QUERIES
 from brindle.sources import qualified_name, warehouse_spec
 
@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.01"
 def test_query_matches_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("region", "nation", "part", "events", "documents"):
+    for t in ("region", "nation", "part", "lineitem", "events", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE_SQL[name])
     names = [c[0] for c in want.description]
@@ -62,10 +62,29 @@ def test_bounds(spark):
 def test_job(spark, capsys):
     got = run(spark.createDataFrame([(1, "AB")], "id int, SRC string"), order_by=["id"])
     assert [tuple(r) for r in got.collect()] == [(1, "ab")]
-    assert "rows: 1" in capsys.readouterr().out
+    said = capsys.readouterr().out
+    assert "rows: 1" in said and said.index("as read") < said.index("SRC in lower case") < said.index("SRC alone")
     assert run(spark.range(3), order_by=["id"]).count() == 3
 
 
+def test_job_scans_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(40).coalesce(1).selectExpr("cast(id as string) as SRC").mapInArrow(counted, "SRC string")
+    assert run(df, order_by=["SRC"]).count() == 40 and seen.value == 40
+
+
+def test_job_tells_its_target(spark, capsys):
+    main(["--parquet", f"{SF}/nation.parquet", "--column", "n_name", "--order-by", "n_nationkey"])
+    said = capsys.readouterr().out
+    assert f"reading {SF}/nation.parquet" in said and "n_name alone" in said
+
+
 def test_names_and_query_text():
     assert qualified_name("a", "B_1", "c$") == "a.B_1.c$"
     with pytest.raises(ValueError):
@@ -110,9 +129,11 @@ def test_keys(tmp_path, caplog):
         with pytest.raises(ValueError):
             options(text)
     assert "\xff" in options(pem("PRIVATE KEY").replace("made", "\xff").encode("latin-1"))["pem_private_key"]
-    with caplog.at_level(logging.WARNING):
+    with caplog.at_level(logging.INFO):
         options(pem("EC PRIVATE KEY"))
-    assert "made up" not in caplog.text and caplog.text
+        options(pem("ENCRYPTED PRIVATE KEY"), "secret words")
+    assert "without encryption" in caplog.text and "using an encrypted key" in caplog.text
+    assert "made up" not in caplog.text and "secret words" not in caplog.text
     with pytest.raises(FileNotFoundError):
         credentials.key_options(str(tmp_path / "none"))
     with pytest.raises(OSError):
