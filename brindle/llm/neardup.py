@@ -196,6 +196,7 @@ def meeting(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tokens = written(prefixes(keys, sets, percent).join(sets.select("key", "bits"), "key"), "near-prefixes")
     by_part = tokens.groupBy("hash", "component").count()
     main = by_part.groupBy("hash").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    main = written(main, "near-mains")  # Spark can split a frequent shingle's rows in a join with a table
     # sets of the similarity asked for are of one range of sizes or of ranges side by side
     step = F.floor(F.log(F.col("n")) / F.lit(np.log(100 / percent) + 1e-9)).cast("int")
     at = tokens.join(main.select("hash", "main"), "hash").withColumn("range", step)
