@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,11 +39,13 @@ class Terms(dict):
         super().__init__()
         self.vocabulary, self.having = vocabulary, set()
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: Iterable[bytes]) -> None:
         if len(self) >= self.MOST:
             self.clear()
             self.having.clear()
-        for word in words - self.keys():
+        for word in words:
+            if word in self:
+                continue
             found = (word, *(word[:c] + b"-" for c in STEMS if len(word) > c))
             if self.vocabulary is not None:
                 found = tuple(self.vocabulary[t] for t in found if t in self.vocabulary)
@@ -57,8 +59,8 @@ def counts(text: str | None, terms: Terms) -> tuple[dict, int]:
     count: dict = defaultdict(int)
     words = OTHER.sub(" ", (text or "").lower()).encode().translate(PARTS).split()
     found = Counter(words)
-    terms.learn(set(found))
-    for w in found.keys() & terms.having:
+    terms.learn(found)
+    for w in found.keys() & terms.having if terms.vocabulary is not None else found:
         k = found[w]
         for t in terms[w]:
             count[t] += k
