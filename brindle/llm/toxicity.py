@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,55 +26,73 @@ STEMS = (4, 5, 6)
 #: The share of a text's words at which a term counts by half: where terms are chosen, and in the two inputs that a
 #: classifier has for each, the first nearly whether the term is there at all.
 HALF, LOW, HIGH = 0.004, 0.0005, 0.01
+#: What a task counts at once (so many bytes or texts), and the sums of terms that it keeps before it sends them.
+SLICE, ROWS, KEPT = 8 << 20, 4_000, 1 << 20
 #: Classifiers, each fitted in a task of its own on three quarters of the sample; their scores are averaged.
 MODELS, EPOCHS, RATE, DECAY = 3, 600, 0.1, 1e-4
 
 
-class Terms(dict):
-    """The terms of each word; of those in a vocabulary, if there is one, the numbers, and which words have any."""
-
-    MOST = 1 << 18
-
-    def __init__(self, vocabulary: dict[bytes, int] | None = None) -> None:
-        super().__init__()
-        self.vocabulary, self.having = vocabulary, set()
-
-    def learn(self, words: Iterable[bytes]) -> None:
-        if len(self) >= self.MOST:
-            self.clear()
-            self.having.clear()
-        for word in words:
-            if word in self:
-                continue
-            found = (word, *(word[:c] + b"-" for c in STEMS if len(word) > c))
-            if self.vocabulary is not None:
-                found = tuple(self.vocabulary[t] for t in found if t in self.vocabulary)
-            self[word] = found
-            if found:
-                self.having.add(word)
-
-
-def counts(text: str | None, terms: Terms) -> tuple[dict, int]:
-    """How often the text holds each term, and its number of words."""
-    count: dict = defaultdict(int)
-    words = OTHER.sub(" ", (text or "").lower()).encode().translate(PARTS).split()
-    found = Counter(words)
-    terms.learn(found)
-    for w in found.keys() & terms.having if terms.vocabulary is not None else found:
-        k = found[w]
-        for t in terms[w]:
-            count[t] += k
-    return count, len(words)
-
-
-def inputs(text: str | None, terms: Terms) -> np.ndarray:
-    """Two inputs for each term of the vocabulary, and a 1 for the bias."""
-    count, n = counts(text, terms)
-    width = len(terms.vocabulary)
-    x = np.zeros(2 * width + 1, np.float32)
-    at, k = np.fromiter(count.keys(), np.int64, len(count)), np.fromiter(count.values(), np.float64, len(count))
-    x[at], x[at + width], x[-1] = k / (k + LOW * n), k / (k + HIGH * n), 1
-    return x
+def terms(words: pa.Array, vocabulary: pa.Array | None) -> tuple[pa.Array, np.ndarray]:
+    """Names of terms (the vocabulary, or all that the words have, if there is none) and, for each word, the numbers of
+    itself and of its beginnings, -1 for what it hasn't.
+    """
+    length, least = pc.binary_length(words).to_numpy(), (0, *STEMS)
+    rows = [np.flatnonzero(length > c) for c in least]
+    starts = [pc.binary_join_element_wise(pc.binary_slice(words.take(pa.array(r)), 0, c), b"-", b"") for r, c in zip(rows[1:], STEMS, strict=True)]
+    found = pa.concat_arrays([words.take(pa.array(rows[0])), *starts])
+    if vocabulary is None:
+        coded = found.dictionary_encode()
+        names, number = coded.dictionary, coded.indices.to_numpy()
+    else:
+        names, number = vocabulary, pc.fill_null(pc.index_in(found, value_set=vocabulary), -1).to_numpy()
+    out = np.full((len(words), len(least)), -1, np.int64)
+    out[np.concatenate(rows), np.repeat(np.arange(len(least)), list(map(len, rows)))] = number
+    return names, out
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """The words of the texts, lower-cased and parted by blanks, for SLICE bytes or ROWS texts at once (a longer text by
+    itself), each with the number of its first text.
+    """
+    first, size, out = 0, 0, []
+    for i, t in enumerate(texts):
+        text = OTHER.sub(" ", (t.as_py() or "").lower()).encode().translate(PARTS).strip()
+        if out and (size + len(text) > SLICE or len(out) >= ROWS):
+            yield first, out
+            first, size, out = i, 0, []
+        out.append(text)
+        size += len(text)
+    if out:
+        yield first, out
+
+
+def counts(texts: list[bytes], vocabulary: pa.Array | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of terms; text, term and how often the text holds it, once for each such pair; and each text's number of
+    words.
+    """
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+    words, length = split.flatten().dictionary_encode(), split.value_lengths().to_numpy()
+    names, numbers = terms(words.dictionary.cast(pa.binary()), vocabulary)
+    text, code = np.repeat(np.arange(len(texts)), length), words.indices.to_numpy()
+    has = (numbers >= 0).any(1)[code]
+    of = max(len(numbers), 1)
+    pair, k = np.unique(text[has] * of + code[has], return_counts=True)
+    text, code = np.divmod(pair, of)
+    row, place = np.nonzero(numbers[code] >= 0)
+    of = max(len(names), 1)  # words of a text may share a beginning
+    pair, place = np.unique(text[row] * of + numbers[code[row], place], return_inverse=True)
+    nothing = [not t for t in texts]  # splits into one empty word
+    return names, *np.divmod(pair, of), np.bincount(place, k[row], len(pair)), np.where(nothing, 0, length)
+
+
+def inputs(texts: pa.Array, vocabulary: pa.Array) -> Iterator[np.ndarray]:
+    """Rows of two inputs for each term of the vocabulary, and a 1 for the bias; some rows at once."""
+    width = len(vocabulary)
+    for _, some in slices(texts):
+        _, text, term, k, n = counts(some, vocabulary)
+        x = np.zeros((len(some), 2 * width + 1), np.float32)
+        x[text, term], x[text, term + width], x[:, -1] = k / (k + LOW * n[text]), k / (k + HIGH * n[text]), 1
+        yield x
 
 
 def chances(z: np.ndarray) -> np.ndarray:
@@ -119,28 +137,27 @@ def told(texts: DataFrame) -> DataFrame:
     """term, p, u and docs: what each term weighs in the positives (p = 1) and in all texts, and how many hold it."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by, terms = {}, Terms()
+        kept, rows = [], 0
         for b in batches:
-            for p, t in zip(column(b, "p").to_pylist(), column(b, "text"), strict=True):
-                count, words = counts(t.as_py(), terms)
-                for term, k in count.items():
-                    weight = k / (k + HALF * words)
-                    got = by.get(term)
-                    if got is None:
-                        by[term] = [weight * p, weight, 1]
-                    else:
-                        got[0] += weight * p
-                        got[1] += weight
-                        got[2] += 1
-            if len(by) > 200_000:
-                yield sent(by)
-                by = {}
-        if by:
-            yield sent(by)
-
-    def sent(by: dict) -> pa.RecordBatch:
-        p, u, n = zip(*by.values(), strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(by, pa.binary()), pa.array(p, pa.float64()), pa.array(u, pa.float64()), pa.array(n, pa.int64())], names=["term", "p", "u", "docs"])
+            positive = column(b, "p").to_numpy()
+            for first, some in slices(column(b, "text")):
+                names, text, term, k, n = counts(some)
+                weight = k / (k + HALF * n[text])
+                p, u, docs = (np.bincount(term, w, len(names)) for w in (weight * positive[first + text], weight, None))
+                kept.append(pa.table({"term": names, "p": p, "u": u, "docs": docs}))
+                rows += len(names)
+                if rows > KEPT:
+                    kept = [added(kept)]
+                    rows = len(kept[0])
+                    if rows > KEPT / 2:
+                        yield from kept[0].to_batches()
+                        kept, rows = [], 0
+        if kept:
+            yield from added(kept).to_batches()
+
+    def added(parts: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(parts).group_by("term", use_threads=False).aggregate([(c, "sum") for c in ("p", "u", "docs")])
+        return pa.table({"term": out["term"], **{c: out[f"{c}_sum"] for c in ("p", "u", "docs")}})
 
     return texts.mapInArrow(sums, "term binary, p double, u double, docs long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("u").alias("u"), F.sum("docs").alias("docs"))
 
@@ -159,7 +176,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
     """
     known = labels.filter(F.col("toxic").isNotNull() & ~held_out(mod, rest))
     prior = known.agg(F.avg("toxic")).first()[0]
-    vocabulary, models = {}, []
+    vocabulary, models = pa.array([], pa.binary()), []
     if prior and prior < 1:
         confirmed = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1").select("doc_id", F.lit(1).alias("p"))
         learnt = docs.select("doc_id", "text").filter(~held_out(mod, rest)).join(confirmed, "doc_id", "left").select("doc_id", "text", F.coalesce("p", F.lit(0)).alias("p"))
@@ -167,12 +184,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
         if n.p:
             apart = F.abs(F.col("p") / n.p - F.col("u") / n.u) / F.sqrt((F.col("p") + F.col("u")) / (n.p + n.u) + 1 / n.p)
             top = told(learnt.select("p", "text")).filter(F.col("docs") >= MIN_DOCS).orderBy(apart.desc(), "term").limit(MAX_TERMS).select("term").collect()
-            vocabulary = {bytes(r.term): i for i, r in enumerate(top)}
+            vocabulary = pa.array([bytes(r.term) for r in top], pa.binary())
 
             def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                terms = Terms(vocabulary)
                 for b in batches:
-                    x = [inputs(t.as_py(), terms).tobytes() for t in column(b, "text")]
+                    x = [row.tobytes() for some in inputs(column(b, "text"), vocabulary) for row in some]
                     yield pa.RecordBatch.from_arrays([column(b, "part"), column(b, "p"), column(b, "drawn"), pa.array(x, pa.binary())], names=["part", "p", "drawn", "x"])
 
             def train(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -196,11 +212,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
     stack = np.stack(models, 1) if models else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(vocabulary)
         for b in batches:
             out = np.full(b.num_rows, constant)
             if stack is not None and b.num_rows:
-                out = chances(np.stack([inputs(t.as_py(), terms) for t in column(b, "text")]) @ stack).mean(1)
+                out = np.concatenate([chances(x @ stack).mean(1) for x in inputs(column(b, "text"), vocabulary)])
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(out)], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -338,6 +339,28 @@ def test_classifiers(spark, docs, none, run, truth, recall, alarms):
     assert run(docs, few.limit(0)).count() == len(ROWS) and run(none, few).count() == 0
 
 
+def test_terms_are_counted_whole(docs, monkeypatch):
+    """Against a plain count of each text's words and their beginnings, however the texts are dealt."""
+    texts = [t for (t,) in docs.select("text").collect()] + [None, "", " 12 ", "Ünïcode ünïcodes—x", "Ж" * 9]
+    want, n = Counter(), []
+    for i, t in enumerate(texts):
+        found = "".join(c if (c.isalpha() if c < "\x80" else re.match(r"\w", c)) else " " for c in (t or "").lower()).encode().split()
+        n.append(len(found))
+        for w in found:
+            want.update((i, x) for x in (w, *(w[:c] + b"-" for c in toxicity.STEMS if len(w) > c)))
+    for size in (50, toxicity.SLICE):
+        monkeypatch.setattr(toxicity, "SLICE", size)
+        got, lengths = {}, []
+        for first, some in toxicity.slices(pa.array(texts, pa.string())):
+            names, text, term, k, each = toxicity.counts(some)
+            got.update({(first + a, names[b.item()].as_py()): c for a, b, c in zip(text, term, k, strict=True)})
+            lengths += each.tolist()
+        assert got == want and lengths == n
+    few = pa.array(sorted({x for _, x in want})[:20], pa.binary())
+    rows = np.concatenate(list(toxicity.inputs(pa.array(texts, pa.string()), few)))
+    assert rows.shape == (len(texts), 41) and ((rows[:, :20] > 0) == [[(i, x) in want for x in few.to_pylist()] for i in range(len(texts))]).all()
+
+
 def test_toxicity_where_the_sample_is_bounded(spark, monkeypatch):
     """Few fit, but terms are counted over all."""
     monkeypatch.setattr(toxicity, "MAX_POSITIVE", 25)
