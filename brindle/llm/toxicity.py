@@ -21,6 +21,8 @@ OTHER = re.compile(r"[^\x00-\x7F\w]+")
 #: Bounds of the sample that fits (by a hash of doc_id) and of the terms that the classifiers see. Terms are chosen by
 #: counts over all documents that may be learnt from.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_TERMS, MIN_DOCS = 8_000, 16_000, 300, 5
+#: So many labelled ids (by a hash) tell the positives among them: they are broadcast, so that no text is shuffled.
+MAX_CONFIRMED = 1 << 19
 #: A term is a word or, with a dash at its end, the beginning of longer ones, of so many bytes.
 STEMS = (4, 5, 6)
 #: The share of a text's words at which a term counts by half: where terms are chosen, and in the two inputs that a
@@ -165,21 +167,24 @@ def told(texts: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: int = 3, rest: int = 1) -> DataFrame:
     """doc_id, held_out, score and predicted of each document.
 
-    Confirmed toxic documents outside the held-out remainder are the positives; a draw of all documents outside it,
-    confirmed ones too, is the unlabelled text. The class prior is the share of toxic labels there. Each classifier's
-    bias puts the threshold where it parts the quarter of the sample that it wasn't fitted on best. The classifiers see
-    how often a whole text holds each of MAX_TERMS words and beginnings of words: those whose weight differs most
-    between the positives and all documents that may be learnt from. Null labels don't count; a document with several
-    labels is positive if one is. Null and empty texts have no words and score as the bias says. Without positives the
-    score is 0, or 1 if all labels are toxic. Repeated rows are scored each; an empty table gives no rows. Further
-    columns are passed over.
+    Confirmed toxic documents outside the held-out remainder (a draw of MAX_CONFIRMED, where there are more) are the
+    positives; a draw of all documents outside it, confirmed ones too, is the unlabelled text. The class prior is the
+    share of toxic labels there. Each classifier's bias puts the threshold where it parts the quarter of the sample
+    that it wasn't fitted on best. The classifiers see how often a whole text holds each of MAX_TERMS words and
+    beginnings of words: those whose weight differs most between the positives and all documents that may be learnt
+    from. Null labels don't count; a document with several labels is positive if one is. Null and empty texts have no
+    words and score as the bias says. Without positives the score is 0, or 1 if all labels are toxic. Repeated rows are
+    scored each; an empty table gives no rows. Further columns are passed over.
     """
     known = labels.filter(F.col("toxic").isNotNull() & ~held_out(mod, rest))
     prior = known.agg(F.avg("toxic")).first()[0]
     vocabulary, models = pa.array([], pa.binary()), []
     if prior and prior < 1:
+        draw = lambda salt, most, of: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(1e6 * min(1, most / max(of, 1)))
         confirmed = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic = 1").select("doc_id", F.lit(1).alias("p"))
-        learnt = docs.select("doc_id", "text").filter(~held_out(mod, rest)).join(confirmed, "doc_id", "left").select("doc_id", "text", F.coalesce("p", F.lit(0)).alias("p"))
+        confirmed = written(confirmed, "toxicity-confirmed")
+        confirmed = confirmed.filter(draw("confirmed", MAX_CONFIRMED, confirmed.count()))
+        learnt = docs.select("doc_id", "text").filter(~held_out(mod, rest)).join(F.broadcast(confirmed), "doc_id", "left").select("doc_id", "text", F.coalesce("p", F.lit(0)).alias("p"))
         n = learnt.agg(F.sum("p").alias("p"), F.count(F.lit(1)).alias("u")).first()
         if n.p:
             apart = F.abs(F.col("p") / n.p - F.col("u") / n.u) / F.sqrt((F.col("p") + F.col("u")) / (n.p + n.u) + 1 / n.p)
@@ -202,7 +207,6 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: in
                     w[-1] += np.log(threshold / (1 - threshold)) - parting(x[p & own] @ w, x[u & own] @ w, prior)
                 return pd.DataFrame({"w": [w.tolist()]})
 
-            draw = lambda salt, most, of: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(1e6 * min(1, most / of))
             part = F.pmod(F.xxhash64("doc_id", F.lit("bag")), F.lit(MODELS + 1)).cast("int")
             sample = learnt.select("text", part.alias("part"), ((F.col("p") == 1) & draw("positive", MAX_POSITIVE, n.p)).cast("int").alias("p"), draw("unlabelled", MAX_UNLABELLED, n.u).alias("drawn")).filter("p = 1 or drawn")
             sample = written(sample.mapInArrow(vectors, "part int, p int, drawn boolean, x binary"), "toxicity-sample")
