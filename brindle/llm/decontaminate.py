@@ -11,8 +11,8 @@ from brindle.llm.common import written
 
 #: What isn't a word, once A-Z are in lower case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: So many shingles of the benchmark stand in the filter of the documents' words; more go through a join.
-MAX_INLINE = 20_000
+#: So many bytes of the benchmark's shingles or windows are broadcast; more go through a shuffled join.
+MAX_BROADCAST = 32 << 20
 
 
 def words(text: str) -> Column:
@@ -21,9 +21,9 @@ def words(text: str) -> Column:
 
 
 def shingles(w: Column, n: Column) -> Column:
-    """(at, token) for each two words in a row; a text of one word has that word."""
-    pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(i.alias("at"), F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)).alias("token")))
-    return F.when(n >= 2, pairs).when(n == 1, F.array(F.struct(F.lit(0).alias("at"), F.get(w, F.lit(0)).alias("token"))))
+    """(at, token) for each two words in a row, token being their hash; a text of one word has that word's."""
+    pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.struct(i.alias("at"), F.xxhash64(F.get(w, i), F.get(w, i + 1)).alias("token")))
+    return F.when(n >= 2, pairs).when(n == 1, F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.get(w, F.lit(0))).alias("token"))))
 
 
 def windows_of(benchmark: DataFrame, size: int) -> DataFrame:
@@ -34,34 +34,42 @@ def windows_of(benchmark: DataFrame, size: int) -> DataFrame:
     return items.select("item", "len", F.array_join(F.slice("words", F.col("s") + 1, F.col("len")), " ").alias("w")).distinct()
 
 
-def occurrences(base: DataFrame, tokens: DataFrame, single: bool, reach: int = 0) -> DataFrame:
-    """uid, at, token of each place in the documents where one of the tokens stands; with a reach, also the words
-    up to so many before and after (near) and where they begin (lo). single: some tokens are one word.
+def small(df: DataFrame, size: Column) -> bool:
+    """Whether the rows' sizes are MAX_BROADCAST bytes at most, with 64 more for each row."""
+    return (df.agg(F.sum(size + 64).alias("bytes")).first().bytes or 0) <= MAX_BROADCAST
+
+
+def shingled(base: DataFrame, single: bool, *more: str) -> DataFrame:
+    """token and at of each shingle of the documents, with the columns in more; single: of each lone word too.
+    Rows are made one by one in generated code, not as an array of each document.
     """
-    w, n = F.col("words"), F.col("n_words")
-    lo = lambda at: F.greatest(at - reach, F.lit(0))
-    near = lambda at: [lo(at).alias("lo"), F.slice(w, lo(at) + 1, 2 * reach + 2).alias("near")] if reach else []
-    some = [r.token for r in tokens.limit(MAX_INLINE + 1).collect()]
-    lone = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("at"), F.get(w, i).alias("token")))
-    pairs = F.coalesce(F.when(n >= 2, shingles(w, n)), F.array().cast("array<struct<at:int,token:string>>"))
-    found = F.concat(pairs, F.when(n >= 1, lone).otherwise(F.array().cast("array<struct<at:int,token:string>>"))) if single else pairs
-    if len(some) <= MAX_INLINE:
-        kept = F.filter(found, lambda x: x.token.isin(some))
-        return base.select("uid", "n_words", F.inline(F.transform(kept, lambda x: F.struct(x.at.alias("at"), x.token.alias("token"), *near(x.at)))))
-    rows = base.select("uid", "n_words", F.inline(found)).join(tokens.select("token"), "token")
-    if not reach:
-        return rows
-    places = rows.groupBy("uid").agg(F.collect_list(F.struct("at", "token")).alias("places"))
-    return base.join(places, "uid").select("uid", "n_words", F.inline(F.transform("places", lambda x: F.struct(x.at.alias("at"), x.token.alias("token"), *near(x.at)))))
+    each = base.select("n_words", "words", *more, F.posexplode("words").alias("at", "word"))
+    two = F.when(F.col("at") < F.col("n_words") - 1, F.xxhash64("word", F.get("words", F.col("at") + 1)))
+    if single:
+        return each.select("at", "n_words", *more, F.explode(F.array(two, F.xxhash64("word"))).alias("token")).filter("token is not null")
+    return each.select("at", "n_words", *more, two.alias("token")).filter("token is not null")
+
+
+def occurrences(base: DataFrame, prefix: DataFrame, single: bool) -> DataFrame:
+    """uid, start, len and w of each place in the documents where a window's prefix stands and all its words do."""
+    start = F.col("at") - F.col("offset")
+    inside = (start >= 0) & (start + F.col("len") <= F.col("n_words"))
+    equal = F.array_join(F.slice("words", F.col("start") + 1, F.col("len")), " ") == F.col("w")
+    if small(prefix, F.octet_length("w")):
+        tried = shingled(base, single, "uid", "words").join(F.broadcast(prefix), "token").filter(inside).withColumn("start", start)
+    else:
+        tried = shingled(base, single, "uid").join(prefix, "token").filter(inside).select("uid", start.alias("start"), "len", "w")
+        tried = tried.join(base.select("uid", "words"), "uid")
+    return tried.filter(equal).select("uid", "start", "len", "w")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """doc_id, text_hash, n_words, n_hit, items and spans (start and length in words) of each document.
 
     Windows are ``window`` consecutive words of an item, or all of a shorter one. A window's tokens are its
-    shingles of two words; the rarest over all documents is the prefix that an occurrence must hold, so documents
-    are searched for those alone. A place gives the window's start; it must lie within the document, and all its
-    words must be equal. Hit words are those inside any occurrence. Null and wordless texts hit nothing and
+    shingles of two words, by 64 bits of hash; the rarest over all documents is the prefix that an occurrence must
+    hold, so documents are searched for those alone. A place gives the window's start; it must lie within the document,
+    and all its words must be equal. Hit words are those inside any occurrence. Null and wordless texts hit nothing and
     wordless items have no windows; repeated documents are judged each; items of one id count once, a null
     item_id as an empty string. An empty benchmark hits nothing. Further columns are passed over.
     """
@@ -71,17 +79,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
     unique = items.select("w", "len").distinct().withColumn("of", F.split("w", " "))
     tokens = unique.select("w", "len", F.inline(shingles(F.col("of"), F.col("len"))))
-    vocabulary = tokens.select("token").distinct()
+    vocabulary = written(tokens.select("token").distinct(), "decontaminate-tokens")
     single = not items.filter("len = 1").isEmpty()
-    counts = occurrences(base, vocabulary, single).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    every = shingled(base, single)
+    known = every.join(F.broadcast(vocabulary), "token") if small(vocabulary, F.lit(8)) else every
+    counts = known.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     # a token that no document has rules its window out
     prefix = tokens.join(counts, "token", "left").groupBy("w", "len").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "at")).alias("p"))
     prefix = written(prefix.filter("p.n > 0").select("w", "len", F.col("p.token").alias("token"), F.col("p.at").alias("offset")), "decontaminate-prefix")
 
-    places = occurrences(base, prefix.select("token").distinct(), single, window - 1)
-    start = F.col("at") - F.col("offset")
-    hits = places.join(prefix, "token").withColumn("start", start).filter((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n_words")))
-    hits = hits.filter(F.array_join(F.slice("near", F.col("start") - F.col("lo") + 1, F.col("len")), " ") == F.col("w")).select("uid", "start", "len", "w")
+    hits = occurrences(base, prefix, single)
     hits = written(hits, "decontaminate-hits")
     spans = hits.groupBy("uid").agg(F.array_sort(F.collect_set(F.struct("start", "len"))).alias("spans"))
     named = hits.select("uid", "w").distinct().join(items.select("w", "item"), "w").groupBy("uid").agg(F.array_sort(F.collect_set("item")).alias("items"))

@@ -175,11 +175,11 @@ def test_decontaminate(spark, docs, none):
         want.append((i, len(w), len(hit), sorted(named)))
     collect = lambda: sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontaminate.decontaminate(docs, bench).collect()), key=repr)
     assert collect() == sorted(want, key=repr)
-    before, decontaminate.MAX_INLINE = decontaminate.MAX_INLINE, 1
+    before, decontaminate.MAX_BROADCAST = decontaminate.MAX_BROADCAST, 1
     try:
         assert collect() == sorted(want, key=repr)
     finally:
-        decontaminate.MAX_INLINE = before
+        decontaminate.MAX_BROADCAST = before
     assert decontaminate.decontaminate(none, bench).count() == 0
     assert {r.n_hit for r in decontaminate.decontaminate(docs, bench.limit(0)).collect()} == {0}
 
