@@ -77,4 +77,47 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM bits LEFT JOIN r USING (html)
 """
 
-ORACLE_SQL = {"op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op9_warc": WARC, "op10_substring": SUBSTRING}
+#: floor(1000 * ln(...)) is in doubles, all else in whole numbers, products in 128 bits where 64 might not do.
+RANKING = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+q AS (SELECT item_id, t, count(*) AS q FROM b GROUP BY ALL),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+word AS (SELECT row, doc_id, len(w) AS n, unnest(w) AS t FROM d),
+tf AS (SELECT row, doc_id, n, t, count(*) AS tf FROM word WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY t),
+impact AS (SELECT row, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS x FROM tf JOIN weight USING (t), total),
+score AS (SELECT item_id, row, doc_id, CAST(sum(q * x) AS BIGINT) AS score FROM impact JOIN q USING (t) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+def _rounds(n: int) -> str:
+    """Steps of codebooks: from c{i} (part, entry, v) each part's nearest entry a{i}, and from these c{i + 1}."""
+    out, squares = "", "list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    for i in range(n + 1):
+        out += f"""
+a{i} AS MATERIALIZED (SELECT vec_id, part, min_by(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT vec_id, p.part, entry, {squares} AS d FROM p JOIN c{i} c ON p.part = c.part) GROUP BY ALL),"""
+        if i < n:
+            out += f"""
+s{i} AS (SELECT part, entry, k, sum(x) AS s, count(*) AS n FROM (SELECT p.part, entry, unnest(range(1, len(v) + 1)) AS k, unnest(v) AS x FROM p JOIN a{i} USING (vec_id, part)) GROUP BY ALL),
+m{i} AS (SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS v FROM s{i} GROUP BY part, entry),
+c{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (part, entry)),"""
+    return out
+
+
+CODES = f"""
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT unnest(range(16)) AS part),
+p AS MATERIALIZED (SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v FROM e, parts),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e ORDER BY vec_id LIMIT 64),
+c0 AS MATERIALIZED (SELECT part, entry, v FROM p JOIN f USING (vec_id)),{_rounds(2)}
+code AS (SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM code JOIN e USING (vec_id), book
+"""
+
+ORACLE_SQL = {"op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op9_warc": WARC, "op10_substring": SUBSTRING, "op12_codes": CODES, "op13_ranking": RANKING}

@@ -460,7 +460,7 @@ def test_tables_need_a_shared_folder(spark):
 def test_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE_SQL[name])
     names = [c[0] for c in want.description]
