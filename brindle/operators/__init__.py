@@ -1,4 +1,7 @@
+from brindle.operators.asof import asof_join
 from brindle.operators.bounded import bounded, preview
+from brindle.operators.intervals import interval_join
 from brindle.operators.report import column_list, missing_columns_message, row_count, schema_report
+from brindle.operators.sessions import rolling, sessions
 
-__all__ = ["bounded", "column_list", "missing_columns_message", "preview", "row_count", "schema_report"]
+__all__ = ["asof_join", "bounded", "column_list", "interval_join", "missing_columns_message", "preview", "rolling", "row_count", "schema_report", "sessions"]

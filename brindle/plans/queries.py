@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import lower_columns
-from brindle.operators import bounded, column_list, preview, row_count, schema_report
+from brindle.operators import asof_join, bounded, column_list, interval_join, preview, rolling, row_count, schema_report, sessions
 from brindle.sources import TableSpec, read_table
+from brindle.sources.shared import shared_path
+from brindle.streaming import current, windowed_counts, write_updates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +32,53 @@ def _lower50(spark: SparkSession, d: str) -> DataFrame:
     return lower_columns(_part50(spark, d), ["p_brand"])
 
 
+#: Whole hundredths, so that sums don't depend on their order.
+CENTS = "cast(round(value * 100) as bigint)"
+
+
+def asof_other_kind(spark: SparkSession, d: str) -> DataFrame:
+    """Each event with the latest earlier event of another kind of its user."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    return asof_join(events, events, ["user_id"], "ts", differ="event_type", order=["event_id"], prefix="other_").drop("other_user_id")
+
+
+def asof_click(spark: SparkSession, d: str) -> DataFrame:
+    """Each purchase with its user's latest click of the six hours up to it."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    of = lambda kind: events.filter(F.col("event_type") == kind).drop("event_type")
+    return asof_join(of("purchase"), of("click"), ["user_id"], "ts", strict=False, tolerance=timedelta(hours=6), order=["event_id"], prefix="click_").drop("click_user_id")
+
+
+def interval_events(spark: SparkSession, d: str) -> DataFrame:
+    """Each event within two days of an error of its user, or within an hour and a half of a signup, with that."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    spans = events.filter("event_type in ('error', 'signup')").withColumn("until", F.when(F.col("event_type") == "error", F.expr("ts + interval 2 days")).otherwise(F.expr("ts + interval 90 minutes")))
+    return interval_join(events, spans, ["user_id"], "ts", "ts", "until", prefix="of_").select("event_id", "event_type", "user_id", "ts", "of_event_id", "of_event_type")
+
+
+def event_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of each user's events, which end where twelve hours pass without one."""
+    return sessions(table(spark, d, "events"), ["user_id"], "ts", timedelta(hours=12), {"events": ("count", "1"), "cents": ("sum", CENTS), "least": ("min", "value"), "most": ("max", "value")})
+
+
+def rolling_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Each event with the number and sum of its user's events of the three days up to it."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    return rolling(events, ["user_id"], "ts", timedelta(days=3), {"events": ("count", "1"), "cents": ("sum", CENTS), "most": ("max", "value")})
+
+
+def stream_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Events of each six hours and kind, counted by a streaming query that reads the table in several batches. However
+    its files are ordered, nothing in it is too late.
+    """
+    # a pattern, as the stream's reader takes folders and patterns, not one file
+    events = spark.readStream.schema(table(spark, d, "events").schema).option("maxFilesPerTrigger", 64).parquet(f"{d}/events.parquet*")
+    counts = windowed_counts(events, "ts", "6 hours", ["event_type"], {"cents": ("sum", CENTS), "most": ("max", "value")}, late="36500 days")
+    path = shared_path(spark, "stream-windows")
+    write_updates(counts, path, f"{path}-checkpoint").awaitTermination()
+    return current(spark, path, counts, ["event_type"])
+
+
 QUERIES = {
     "scan_full": lambda s, d: table(s, d, "nation"),
     "scan_limit_topk": _part50,
@@ -45,6 +96,12 @@ QUERIES = {
     "preview_lower": lambda s, d: preview(_lower50(s, d), order_by=["p_partkey"]),
     "schema_report": lambda s, d: schema_report(table(s, d, "nation")),
     "column_list": lambda s, d: column_list(table(s, d, "nation")),
+    "asof_other_kind": asof_other_kind,
+    "asof_click": asof_click,
+    "interval_events": interval_events,
+    "event_sessions": event_sessions,
+    "rolling_sums": rolling_sums,
+    "stream_windows": stream_windows,
 }
 
 _PART50 = "SELECT * FROM part ORDER BY p_partkey LIMIT 50"
@@ -67,4 +124,29 @@ ORACLE_SQL = {
     "preview_lower": f"SELECT * FROM ({_LOWER50}) ORDER BY p_partkey LIMIT 20",
     "schema_report": "SELECT * FROM (VALUES (0, 'n_nationkey', 'int'), (1, 'n_name', 'string'), (2, 'n_regionkey', 'int')) AS v(position, name, type)",
     "column_list": "SELECT 'n_nationkey, n_name, n_regionkey' AS columns",
+    "asof_other_kind": """
+        SELECT e.event_id, e.user_id, e.ts, e.event_type, o.event_id AS other_event_id, o.ts AS other_ts, o.event_type AS other_event_type
+        FROM events e LEFT JOIN events o ON o.user_id = e.user_id AND o.ts < e.ts AND o.event_type <> e.event_type
+        QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY o.ts DESC NULLS LAST, o.event_id DESC) = 1""",
+    "asof_click": """
+        WITH p AS (SELECT * FROM events WHERE event_type = 'purchase'), c AS (SELECT * FROM events WHERE event_type = 'click')
+        SELECT p.event_id, p.user_id, p.ts, p.value, c.event_id AS click_event_id, c.ts AS click_ts, c.value AS click_value
+        FROM p LEFT JOIN c ON c.user_id = p.user_id AND c.ts <= p.ts AND c.ts >= p.ts - INTERVAL 6 HOURS
+        QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY c.ts DESC NULLS LAST, c.event_id DESC) = 1""",
+    "interval_events": """
+        SELECT e.event_id, e.event_type, e.user_id, e.ts, o.event_id AS of_event_id, o.event_type AS of_event_type
+        FROM events e JOIN events o ON o.user_id = e.user_id AND e.ts >= o.ts
+        WHERE o.event_type = 'error' AND e.ts < o.ts + INTERVAL 2 DAYS OR o.event_type = 'signup' AND e.ts < o.ts + INTERVAL 90 MINUTES""",
+    "event_sessions": """
+        WITH f AS (SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 12 HOURS, true) AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        s AS (SELECT *, sum(new::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM f)
+        SELECT user_id, min(ts) AS start, max(ts) AS "end", count(*) AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, min(value) AS least, max(value) AS most
+        FROM s GROUP BY user_id, session""",
+    "rolling_sums": """
+        SELECT event_id, user_id, ts, value, count(*) OVER w AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS cents, max(value) OVER w AS most
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND CURRENT ROW)""",
+    "stream_windows": """
+        SELECT time_bucket(INTERVAL 6 HOURS, ts) AS window_start, time_bucket(INTERVAL 6 HOURS, ts) + INTERVAL 6 HOURS AS window_end, event_type, count(*) AS n,
+               CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, max(value) AS most
+        FROM events GROUP BY ALL""",
 }
