@@ -3,5 +3,6 @@ from brindle.operators.bounded import bounded, preview
 from brindle.operators.intervals import interval_join
 from brindle.operators.report import column_list, missing_columns_message, row_count, schema_report
 from brindle.operators.sessions import rolling, sessions
+from brindle.operators.sketches import estimates, merged_sketches, period_sketches
 
-__all__ = ["asof_join", "bounded", "column_list", "interval_join", "missing_columns_message", "preview", "rolling", "row_count", "schema_report", "sessions"]
+__all__ = ["asof_join", "bounded", "column_list", "estimates", "interval_join", "merged_sketches", "missing_columns_message", "period_sketches", "preview", "rolling", "row_count", "schema_report", "sessions"]

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brindle.functions import lower_columns
 from brindle.operators.bounded import READ_ROWS, bounded, preview
+from brindle.operators.report import schema_report
 from brindle.plans.config import load_settings
 from brindle.plans.credentials import key_options
 from brindle.sources import TableSpec, read_table, warehouse_spec
@@ -41,6 +42,7 @@ def run(df: DataFrame, column: str = "SRC", order_by: Sequence[str] | None = Non
     try:
         print(f"== as read ==\nrows: {snapshot.count()}")
         snapshot.printSchema()
+        schema_report(snapshot).select("name", "null_count").show(len(snapshot.columns), truncate=False)
         preview(snapshot).show(truncate=False)
         out = lower_columns(snapshot, [column])
         found = column in out.columns

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import lower_columns
-from brindle.operators import asof_join, bounded, column_list, interval_join, preview, rolling, row_count, schema_report, sessions
-from brindle.sources import TableSpec, read_table
+from brindle.operators import asof_join, bounded, column_list, estimates, interval_join, merged_sketches, period_sketches, preview, rolling, row_count, schema_report, sessions
+from brindle.operators.sketches import RANK_ERROR
+from brindle.sources import TableSpec, read_partitions, read_table, replace_partitions
 from brindle.sources.shared import shared_path
 from brindle.streaming import current, windowed_counts, write_updates
 
@@ -79,6 +80,36 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     return current(spark, path, counts, ["event_type"])
 
 
+def sketched_weeks(spark: SparkSession, d: str) -> DataFrame:
+    """Events, users and the median value of each kind and week, from stored sketches of its days. The median isn't given,
+    as it may be off: median_holds says whether its true rank among the week's values is within the stated error, thrice.
+    """
+    events = table(spark, d, "events")
+    days = period_sketches(events, "ts", "day", ["event_type"], {"users": "user_id"}, {"median": "value"})
+    path = shared_path(spark, "sketches")
+    replace_partitions(days, path, ["period_start"])
+    week = F.date_trunc("week", F.col("period_start").cast("timestamp")).cast("timestamp_ntz").alias("week")
+    stored = read_partitions(spark, path, days.schema, ["period_start"]).select(week, "event_type", "n", "users", "median")
+    found = estimates(merged_sketches(stored, ["week", "event_type"], ["users"], ["median"]), ["users"], {"median": [0.5]})
+    found = found.withColumn("median", F.col("median")[0])
+    values = events.select(F.date_trunc("week", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("week"), "event_type", "value")
+    below = values.join(found, ["week", "event_type"]).groupBy("week", "event_type").agg(F.avg((F.col("value") < F.col("median")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("int")).alias("up_to"))
+    error = 3 * RANK_ERROR
+    holds = (F.col("below") <= 0.5 + error) & (F.col("up_to") >= 0.5 - error)
+    return found.join(below, ["week", "event_type"]).select("week", "event_type", "n", "users", holds.alias("median_holds"))
+
+
+def rewritten_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders in partitions by status and year; the open ones are written again with prices in whole cents, and all read."""
+    orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    orders = orders.withColumn("cents", F.lit(None).cast("long"))
+    path, by = shared_path(spark, "orders"), ["o_orderstatus", "year"]
+    replace_partitions(orders, path, by)
+    stored = read_partitions(spark, path, orders.schema, by)
+    replace_partitions(stored.filter("o_orderstatus = 'O'").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long")), path, by)
+    return read_partitions(spark, path, orders.schema, by)
+
+
 QUERIES = {
     "scan_full": lambda s, d: table(s, d, "nation"),
     "scan_limit_topk": _part50,
@@ -94,14 +125,16 @@ QUERIES = {
     "lower_unicode": lambda s, d: lower_columns(table(s, d, "documents"), ["text"]),
     "missing_col": lambda s, d: lower_columns(bounded(table(s, d, "nation"), order_by=["n_nationkey"]), ["SRC"]),
     "preview_lower": lambda s, d: preview(_lower50(s, d), order_by=["p_partkey"]),
-    "schema_report": lambda s, d: schema_report(table(s, d, "nation")),
-    "column_list": lambda s, d: column_list(table(s, d, "nation")),
+    "schema_report": lambda s, d: schema_report(table(s, d, "orders")),
+    "column_list": lambda s, d: column_list(table(s, d, "orders")),
     "asof_other_kind": asof_other_kind,
     "asof_click": asof_click,
     "interval_events": interval_events,
     "event_sessions": event_sessions,
     "rolling_sums": rolling_sums,
     "stream_windows": stream_windows,
+    "sketched_weeks": sketched_weeks,
+    "rewritten_orders": rewritten_orders,
 }
 
 _PART50 = "SELECT * FROM part ORDER BY p_partkey LIMIT 50"
@@ -122,8 +155,11 @@ ORACLE_SQL = {
     "lower_unicode": "SELECT doc_id, lower(text) AS text, lang, source, n_chars FROM documents",
     "missing_col": "SELECT * FROM nation ORDER BY n_nationkey LIMIT 50",
     "preview_lower": f"SELECT * FROM ({_LOWER50}) ORDER BY p_partkey LIMIT 20",
-    "schema_report": "SELECT * FROM (VALUES (0, 'n_nationkey', 'int'), (1, 'n_name', 'string'), (2, 'n_regionkey', 'int')) AS v(position, name, type)",
-    "column_list": "SELECT 'n_nationkey, n_name, n_regionkey' AS columns",
+    "schema_report": " UNION ALL ".join(
+        f"SELECT {i} AS position, '{name}' AS name, '{kind}' AS type, count(*) AS row_count, count(*) - count({name}) AS null_count FROM orders"
+        for i, (name, kind) in enumerate((("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")))
+    ),
+    "column_list": "SELECT 'o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority' AS columns, count(*) AS row_count FROM orders",
     "asof_other_kind": """
         SELECT e.event_id, e.user_id, e.ts, e.event_type, o.event_id AS other_event_id, o.ts AS other_ts, o.event_type AS other_event_type
         FROM events e LEFT JOIN events o ON o.user_id = e.user_id AND o.ts < e.ts AND o.event_type <> e.event_type
@@ -149,4 +185,6 @@ ORACLE_SQL = {
         SELECT time_bucket(INTERVAL 6 HOURS, ts) AS window_start, time_bucket(INTERVAL 6 HOURS, ts) + INTERVAL 6 HOURS AS window_end, event_type, count(*) AS n,
                CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, max(value) AS most
         FROM events GROUP BY ALL""",
+    "sketched_weeks": "SELECT date_trunc('week', ts) AS week, event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS median_holds FROM events GROUP BY ALL",
+    "rewritten_orders": "SELECT *, CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_orderstatus = 'O' THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS cents FROM orders",
 }

@@ -1,3 +1,4 @@
+from brindle.sources.sinks import read_partitions, replace_partitions
 from brindle.sources.tables import TableSpec, qualified_name, read_table, warehouse_spec
 
-__all__ = ["TableSpec", "qualified_name", "read_table", "warehouse_spec"]
+__all__ = ["TableSpec", "qualified_name", "read_partitions", "read_table", "replace_partitions", "warehouse_spec"]

@@ -1,15 +1,17 @@
+import ast
 import logging
 
 import pytest
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from brindle.functions import lower_columns
-from brindle.operators import bounded, preview, row_count
+from brindle.operators import bounded, column_list, preview, row_count, schema_report
 from brindle.plans import credentials
 from brindle.plans.config import load_settings, parse_env
 from brindle.plans.job import main, run
 from brindle.plans.queries import ORACLE_SQL, QUERIES
-from brindle.sources import qualified_name, warehouse_spec
+from brindle.sources import qualified_name, read_table, warehouse_spec
 
 SF = "/root/testdata/sf0.01"
 
@@ -18,7 +20,7 @@ SF = "/root/testdata/sf0.01"
 def test_query_matches_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("region", "nation", "part", "lineitem", "events", "documents"):
+    for t in ("region", "nation", "part", "lineitem", "orders", "events", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLE_SQL[name])
     names = [c[0] for c in want.description]
@@ -59,6 +61,23 @@ def test_bounds(spark):
     assert row_count(df.limit(0)).first()[0] == 0
 
 
+def test_reports_count_in_one_scan(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(1, None, [1]), (2, "", None), (None, "x", None)], "a int, b string, c array<int>").coalesce(1)
+    df = df.mapInArrow(counted, df.schema).withColumnRenamed("c", "c.d")
+    assert [tuple(r) for r in schema_report(df).collect()] == [(0, "a", "int", 3, 1), (1, "b", "string", 3, 1), (2, "c.d", "array<int>", 3, 2)]
+    assert seen.value == 3
+    assert [tuple(r) for r in column_list(df).collect()] == [("a, b, c.d", 3)]
+    assert [r.null_count for r in schema_report(df.select("a", "a").limit(0)).collect()] == [0, 0]
+    assert schema_report(df.select()).count() == 0
+
+
 def test_job(spark, capsys):
     got = run(spark.createDataFrame([(1, "AB")], "id int, SRC string"), order_by=["id"])
     assert [tuple(r) for r in got.collect()] == [(1, "ab")]
@@ -85,6 +104,54 @@ def test_job_tells_its_target(spark, capsys):
     assert f"reading {SF}/nation.parquet" in said and "n_name alone" in said
 
 
+def warehouse():
+    """A class of its own, which travels to workers whole."""
+
+    class Reader(DataSourceReader):
+        def __init__(self, options):
+            self.options = options
+
+        def read(self, partition):
+            query = self.options["query"]
+            most = int(query.rpartition(" LIMIT ")[2]) if " LIMIT " in query else 60
+            yield from ((i, f"Row {i}", repr(sorted(self.options.items()))) for i in range(min(most, 60)))
+
+    class Warehouse(DataSource):
+        """Stands in for the warehouse's connector: 60 rows, of which the query's limit is kept; options come as rows."""
+
+        @classmethod
+        def name(cls):
+            return "net.snowflake.spark.snowflake"
+
+        def schema(self):
+            return "N int, SRC string, options string"
+
+        def reader(self, schema):
+            return Reader(dict(self.options))
+
+    return Warehouse
+
+
+def test_warehouse_read_end_to_end(spark, tmp_path, monkeypatch, capsys):
+    """From settings and a key file through the reader to the lower-cased previews, with the limit in the source."""
+    key = tmp_path / "key"
+    key.write_text(pem("PRIVATE KEY"))
+    for k, v in {**BASE, "SNOWFLAKE_KEY_PATH": str(key), "SNOWFLAKE_ROLE": "r"}.items():
+        monkeypatch.setenv(k, v)
+    spark.dataSource.register(warehouse())
+    main(["--order-by", "N"])
+    said = capsys.readouterr().out
+    assert "reading database.schema.table at account.snowflakecomputing.com" in said and "rows: 50" in said
+    assert "Row 0" in said and "row 19" in said and "row 20" not in said and "null_count" in said
+    options = {"sfURL": "account.snowflakecomputing.com", "sfRole": "r", "pem_private_key": pem("PRIVATE KEY"), "k": "v"}
+    for limit, n in ((50, 50), (None, 60)):
+        spec = warehouse_spec(options, "d", "s", "t", limit)
+        rows = read_table(spark, spec).collect()
+        assert len(rows) == n
+        seen = dict(ast.literal_eval(rows[0].options))
+        assert {k.lower(): v for k, v in seen.items()} == {k.lower(): v for k, v in spec.options.items()}
+
+
 def test_names_and_query_text():
     assert qualified_name("a", "B_1", "c$") == "a.B_1.c$"
     with pytest.raises(ValueError):
