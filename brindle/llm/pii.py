@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +30,13 @@ TOKEN = re.compile(r"(?<!\S)[^\s0-9@_]*+[0-9@_]\S*+")
 LETTER = re.compile(r"[^\W\d_]")
 EDGE = ".,;:!?()[]{}<>\"'*#%$&|"
 MIN_DIGITS, MIN_LENGTH, MAX_LENGTH = 4, 6, 80
+#: A value behind a key name, as in ``key = "value"``, and what stands before it.
+VALUE = re.compile(r"[:=]{1,2}[\x20\t]{0,2}[\"'`]?([^\s\"'`<>/][^\s\"'`<>]*+)")
+KEY = re.compile(r"([^\W\d_][\w.-]{0,39})[\x20\t]{0,2}([:=]{1,2})[\x20\t]{0,2}[\"'`]?$")
+#: A string of letters and digits mixed that is long enough to be a secret: a seed of a kind of its own.
+SECRET, MAX_SECRET = re.compile(r"(?=[^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z][^A-Za-z]*[A-Za-z][^A-Za-z]*[A-Za-z])[A-Za-z0-9_-]{20,}"), 256
+#: Ways in which a card's digits stand in groups.
+GROUPS = re.compile(r"[0-9]{14,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?")
 #: A context is a pattern once so many different seeds share it; one this precise discovers.
 MIN_SUPPORT, MIN_SCORE, ROUNDS = 3, 0.8, 3
 
@@ -69,6 +77,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def sure_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Like base_spans, of what proves itself in runs that a base pattern took as one and dropped: two or more cards in
+    a row, each in one group or in fours, each valid and with nothing between but a separator; and a phone that only a
+    base match right behind it made too long.
+    """
+    out = []
+    for m in CARD.finditer(text):
+        if m.end() - m.start() > 28 and (20 <= len(DIGIT.findall(m[0]))):
+            found, at = [], m.start()
+            while at < m.end() and (g := GROUPS.match(text, at, m.end())) and luhn("".join(DIGIT.findall(g[0]))):
+                found.append((at, 2, g.end()))
+                at = g.end() + 1
+            if at == m.end() + 1 and len(found) > 1:
+                out += found
+    if "+" in text:
+        starts = [a for a, _, _ in base]
+        for m in PHONE.finditer(text):
+            if len(DIGIT.findall(m[0])) > 15 and (i := bisect_left(starts, m.start() + 1)) < len(starts) and starts[i] < m.end():
+                end = m.start() + len(text[m.start() : starts[i]].rstrip(" ().-"))
+                if 10 <= len(DIGIT.findall(text, m.start(), end)) <= 15 and (i == 0 or base[i - 1][2] <= m.start()):
+                    out.append((m.start(), 3, end))
+    return sorted(out)
+
+
 def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
     """Without the marks around it, but with a bracket that opens for one that closes inside."""
     s = text[a:b]
@@ -93,7 +125,7 @@ def failed(s: str) -> bool:
     return bool(IP.search(s) or PHONE.search(s)) or any(len(d) >= 14 and not (len(d) <= 19 and luhn("".join(d))) for d in digits)
 
 
-def free(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]], most: int) -> Iterator[tuple[int, int]]:
+def free(spans: Iterable[tuple[int, int]], taken: list[tuple[int, int]], most: int) -> Iterator[tuple[int, int]]:
     """The spans that overlap none of taken; both by start, at most so many of taken in one place."""
     at = 0
     for a, b in spans:
@@ -103,23 +135,32 @@ def free(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]], most: i
             yield a, b
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """start and end of each identifier-like string outside the base matches. Numbers with blanks between are one
-    string, unless it is too long or has more digits than any base kind.
+def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str]]:
+    """start, end and kind of each string outside the base matches that looks like an identifier (empty, or secret), and
+    of those behind key names that don't (plain). Numbers with blanks between are one string, unless it is too long or
+    has more digits than any base kind.
     """
     taken = [(a, b) for a, _, b in base]
+    values = [(a, b) for a, b in free((trimmed(text, *m.span(1)) for m in VALUE.finditer(text)), taken, len(KINDS)) if KEY.search(text, max(0, a - 46), a)]
     spaced = [(a, b) for a, b in free((trimmed(text, *m.span()) for m in SPACED.finditer(text)), taken, len(KINDS)) if b - a <= MAX_LENGTH and len(DIGIT.findall(text[a:b])) <= 19]
     tokens = free(free((trimmed(text, *m.span()) for m in TOKEN.finditer(text)), taken, len(KINDS)), spaced, 2)
-    for a, b in (*spaced, *tokens):
-        if like(s := text[a:b]) and not failed(s):
-            yield a, b
+    marked = [(a, b) for a, b in values if like(text[a:b]) or SECRET.fullmatch(text, a, b)]
+    for a, b in (*free(spaced, marked, 2), *marked, *free(tokens, marked, 2)):
+        if b - a <= MAX_SECRET and SECRET.fullmatch(text, a, b):
+            yield a, b, "secret"
+        elif like(s := text[a:b]) and not failed(s):
+            yield a, b, ""
+    for a, b in values:
+        if a < b <= a + MAX_LENGTH and not like(text[a:b]) and not SECRET.fullmatch(text, a, b):
+            yield a, b, "plain"
 
 
 def places(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str, str, list[str]]]:
     """start, end, kind (empty: not known), instance and lexical contexts of each identifier-like string: the two
-    words before it, and the words on its two sides.
+    words before it, the words on its two sides, and the key name and sign before it. Of values that don't
+    look like identifiers (plain), the last alone.
     """
-    found = [(a, b, KINDS[k]) for a, k, b in base] + [(a, b, "") for a, b in candidates(text, base)]
+    found = [(a, b, KINDS[k]) for a, k, b in base] + [(a, b, kind) for a, b, kind in candidates(text, base)]
     last = -1
     for a, b, kind in sorted(found):
         if (a, b) == last:
@@ -127,7 +168,9 @@ def places(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, i
         last = (a, b)
         left, right = text[max(0, a - 60) : a].lower().split(), text[b : b + 60].lower().split()
         l1, l2, r1 = (left or ["^"])[-1], (["^", "^", *left])[-2], (right or ["$"])[0]
-        contexts = [f"L {l2} {l1}"] * bool(LETTER.search(l2 + l1)) + [f"B {l1} _ {r1}"] * bool(LETTER.search(l1 + r1))
+        contexts = [] if kind == "plain" else [f"L {l2} {l1}"] * bool(LETTER.search(l2 + l1)) + [f"B {l1} _ {r1}"] * bool(LETTER.search(l1 + r1))
+        if key := KEY.search(text, max(0, a - 46), a):
+            contexts.append(f"K {key[1].lower()} {key[2]}")
         if contexts:
             yield a, b, kind, text[a:b], contexts
 
@@ -135,29 +178,33 @@ def places(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, i
 def scored(edges: DataFrame) -> DataFrame:
     """kind of each instance that the patterns discover, from edges (pattern, instance, kind).
 
-    Seeds score 1. In each round a pattern scores the mean of its instances' scores, where at least MIN_SUPPORT
-    different ones score at all, and an instance that isn't a seed the largest score of its patterns from MIN_SCORE
-    on. Patterns and instances meet in joins and counts over all documents.
+    Seeds (the base kinds, what proves itself, and secrets) score 1, plain ones always 0. In each round a pattern scores
+    the mean of its instances' scores, where at least MIN_SUPPORT different ones score at all, and an instance that is
+    not known yet the largest score of its patterns from MIN_SCORE on. A secret is a seed by its form alone, so it too
+    counts as discovered only where such a pattern has it. Patterns and instances meet in joins and counts over all
+    documents.
     """
     edges = written(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
-    names = edges.filter("kind != ''").groupBy("pattern", "kind").count().groupBy("pattern").agg(F.max_by("kind", F.struct("count", "kind")).alias("of"))
+    open_ = "kind in ('', 'secret')"
+    names = edges.filter("kind not in ('', 'plain')").groupBy("pattern", "kind").count().groupBy("pattern").agg(F.max_by("kind", F.struct("count", "kind")).alias("of"))
     edges = edges.join(names, "pattern")  # only what seeds induce is a pattern
-    edges = written(edges.withColumn("score", (F.col("kind") != "").cast("double")), "pii-graph")
+    edges = written(edges.withColumn("score", (~F.col("kind").isin("", "plain")).cast("double")), "pii-graph")
     graph = edges
     for _ in range(ROUNDS):
         pattern = graph.groupBy("pattern").agg(F.avg("score").alias("p"), F.sum((F.col("score") > 0).cast("int")).alias("support")).filter((F.col("support") >= MIN_SUPPORT) & (F.col("p") >= MIN_SCORE))
-        instance = graph.filter("kind = ''").join(pattern, "pattern").groupBy("instance").agg(F.max("p").alias("best"), F.max_by("of", F.struct("p", "of")).alias("named"))
-        graph = written(edges.join(instance, "instance", "left").withColumn("score", F.greatest("score", F.coalesce("best", F.lit(0.0)))).drop("best"), "pii-graph")
+        instance = graph.filter(open_).join(pattern, "pattern").groupBy("instance").agg(F.max("p").alias("best"), F.max_by("of", F.struct("p", "of")).alias("named"))
+        found = edges.join(instance, "instance", "left").withColumn("best", F.when(F.expr(open_), F.col("best")))
+        graph = written(found.withColumn("score", F.greatest("score", F.coalesce("best", F.lit(0.0)))).drop("best"), "pii-graph")
         edges_named = graph
         graph = graph.drop("named")
-    return edges_named.filter("kind = '' and named is not null").select("instance", F.col("named").alias("found")).distinct()
+    return edges_named.filter(f"{open_} and named is not null").select("instance", F.col("named").alias("found")).distinct()
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, base and spans (start, kind, end; code points, end exclusive) of each document.
 
-    base holds what the patterns for KINDS match; spans also what their contexts discover, kind context_ and the
-    kind of the seeds. Null and empty texts hold nothing; repeated rows are judged each; an empty table gives no
+    base holds what the patterns for KINDS match; spans also what proves itself in runs that these dropped (see
+    sure_spans), and what the contexts of all these and of secrets discover: kind context_ and the kind of the seeds. Null and empty texts hold nothing; repeated rows are judged each; an empty table gives no
     rows. Further columns are passed over.
     """
     kind = dict(docs.dtypes)["doc_id"]
@@ -166,23 +213,25 @@ def find(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            base, found = [], []
+            base, sure, found = [], [], []
             for t in column(b, "text"):
                 text = t.as_py() or ""
                 got = base_spans(text)
                 base.append([{"start": a, "kind": KINDS[k], "end": e} for a, k, e in got])
-                found.append([{"start": a, "end": e, "kind": k, "instance": s, "patterns": p} for a, e, k, s, p in places(text, got)])
-            yield pa.RecordBatch.from_arrays([column(b, "uid"), column(b, "doc_id"), column(b, "text_hash"), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(place))], names=["uid", "doc_id", "text_hash", "base", "places"])
+                more = sure_spans(text, got)
+                sure.append([{"start": a, "kind": f"context_{KINDS[k]}", "end": e} for a, k, e in more])
+                found.append([{"start": a, "end": e, "kind": k, "instance": s, "patterns": p} for a, e, k, s, p in places(text, sorted(got + more))])
+            yield pa.RecordBatch.from_arrays([column(b, "uid"), column(b, "doc_id"), column(b, "text_hash"), pa.array(base, pa.list_(span)), pa.array(sure, pa.list_(span)), pa.array(found, pa.list_(place))], names=["uid", "doc_id", "text_hash", "base", "sure", "places"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    base = written(rows.mapInArrow(run, f"uid long, doc_id {kind}, text_hash long, base array<struct<start:int,kind:string,end:int>>, places array<struct<start:int,end:int,kind:string,instance:string,patterns:array<string>>>"), "pii-base")
+    base = written(rows.mapInArrow(run, f"uid long, doc_id {kind}, text_hash long, base array<struct<start:int,kind:string,end:int>>, sure array<struct<start:int,kind:string,end:int>>, places array<struct<start:int,end:int,kind:string,instance:string,patterns:array<string>>>"), "pii-base")
     each = base.select("uid", F.inline("places"))
     found = scored(each.select(F.explode("patterns").alias("pattern"), "instance", "kind"))
-    added = each.filter("kind = ''").join(found, "instance").groupBy("uid").agg(F.collect_list(F.struct("start", F.concat(F.lit("context_"), "found").alias("kind"), "end")).alias("added"))
+    added = each.filter("kind in ('', 'secret')").join(found, "instance").groupBy("uid").agg(F.collect_list(F.struct("start", F.concat(F.lit("context_"), "found").alias("kind"), "end")).alias("added"))
     none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
     # kinds as listed, those of contexts after them
     order = lambda k: F.when(k.startswith("context_"), 9).otherwise(F.array_position(F.array(*map(F.lit, KINDS)), k))
-    sorted_ = F.transform(F.array_sort(F.transform(F.concat("base", F.coalesce("added", none)), lambda x: F.struct(x.start.alias("start"), order(x.kind).cast("int").alias("order"), x.kind.alias("kind"), x.end.alias("end")))), lambda x: F.struct(x.start.alias("start"), x.kind.alias("kind"), x.end.alias("end")))
+    sorted_ = F.transform(F.array_sort(F.transform(F.concat("base", "sure", F.coalesce("added", none)), lambda x: F.struct(x.start.alias("start"), order(x.kind).cast("int").alias("order"), x.kind.alias("kind"), x.end.alias("end")))), lambda x: F.struct(x.start.alias("start"), x.kind.alias("kind"), x.end.alias("end")))
     return base.join(added, "uid", "left").select("doc_id", "text_hash", "base", sorted_.alias("spans"))
 
 

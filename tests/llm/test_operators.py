@@ -326,6 +326,43 @@ def test_contexts_discover_other_forms(spark):
     assert [masked[i] for i, _ in rows[m:]] == [t for _, t in rows[m:]]
 
 
+def spans_of(spark, rows):
+    return {r.doc_id: [(x.kind, t[x.start : x.end]) for x in r.spans] for (i, t), r in zip(rows, sorted(pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=lambda r: r.doc_id), strict=True) if i == r.doc_id}
+
+
+def test_secrets_are_discovered_behind_key_names(spark):
+    """Where enough different ones stand behind a name, also short ones and those elsewhere; neither words nor lone ones."""
+    digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    texts = [f'put token = "{digest(i)}" here' for i in range(30)]
+    texts += ['put Token = "ab12-cd34" here', f"put token={digest(31)}, here", f"only {digest(3)} again"]
+    texts += [f"a lone {digest(50)} stays", 'colour = "red"', f'colour = "{digest(60)}"', 'put token = "hello" here', f'id = "{digest(61)}"', "see http://a.b/c?d=e1 at 12:30", None, "", f'put token = "{digest(1)}" here']
+    texts += [f'colour = "{c}"' for c in ("blue", "green", "black")] + [f'colour = "{digest(70 + i)}"' for i in range(3)]
+    got = spans_of(spark, list(enumerate(texts)))
+    assert all(got[i] == [("context_secret", digest(i))] for i in range(30))
+    assert (got[30], got[31], got[32]) == ([("context_secret", "ab12-cd34")], [("context_secret", digest(31))], [("context_secret", digest(3))])
+    assert not any(got[i] for i in (*range(33, 41), *range(42, len(texts)))) and got[41] == [("context_secret", digest(1))]
+
+
+def test_what_proves_itself_in_dropped_runs(spark):
+    a, b = "4111111111111111", "5500000000000004"
+    four = lambda x, gap: gap.join(x[i : i + 4] for i in range(0, 16, 4))
+    rows = [
+        (f"pay {a} {b}.", [("context_card", a), ("context_card", b)]), (f"{four(a, ' ')} {four(b, ' ')}", [("context_card", four(a, " ")), ("context_card", four(b, " "))]),
+        (f"{a}-{b} {a}", [("context_card", a), ("context_card", b), ("context_card", a)]), (f"{a} 4111111111111112", []), (f"{a} 12 {b}", []), (f"{a}{b}", []), ("1 2 3 4 5 6 7 8 9 " * 40, []),
+        ("call +1 (826) 555-4081 190.137.22.10 now", [("context_phone", "+1 (826) 555-4081"), ("ip", "190.137.22.10")]), ("+12 190.137.22.10 190.137.22.10", [("ip", "190.137.22.10")] * 2), (a, [("card", a)]),
+    ]
+    got = spans_of(spark, [(i, t) for i, (t, _) in enumerate(rows)])
+    assert [got[i] for i in range(len(rows))] == [w for _, w in rows]
+
+
+def test_pii_of_odd_rows(docs):
+    """Null, empty, long and repeated texts: values, not only rows."""
+    got = sorted(((r.doc_id, r.base, r.spans) for r in pii.find(docs).collect()), key=repr)
+    assert got == sorted(((i, [], []) for i, _, _ in ROWS), key=repr)
+    more = docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" a.b@c.de")))
+    assert sorted(((r.doc_id, [(x.kind, x.end - x.start) for x in r.spans]) for r in pii.find(more).collect()), key=repr) == sorted(((i, [("email", 8)]) for i, _, _ in ROWS), key=repr)
+
+
 @pytest.mark.parametrize("run,truth,recall,alarms", [(quality.classify, "quality", 0.95, 0.1), (toxicity.classify, "toxic", 0.75, 0.05)])
 def test_classifiers(spark, docs, none, run, truth, recall, alarms):
     """Recall and false alarms on labels that weren't learnt from."""
