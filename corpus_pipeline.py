@@ -5,9 +5,23 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brindle.llm import decontaminate, mixing, neardup, pii, quality
-from brindle.llm.common import joined, table, written
+from brindle.llm.common import joined, table, unused, written
+
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    return not isinstance(kind, T.StructType) or all(orderable(f.dataType) for f in kind.fields)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,11 +33,17 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest doc_id."""
-    found = written(neardup.groups(docs).filter("kept").select("doc_id", "text_hash"), "near-kept")
-    kept = joined(docs, found, "left_semi")
-    # repeated rows share their id, so that all of them are kept by it: one stays. Without any, no text is shuffled
-    return kept if found.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    """One document of each group of near-duplicates, that with the smallest doc_id. Repeated rows share their id, so that
+    all of them are kept by it: of these the one stays whose other columns come first in order (maps aside).
+    """
+    copies, rest = unused(docs, "copies"), [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = neardup.groups(docs).filter("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    kept = joined(docs, written(found, "near-kept"), "inner", {"copies": copies})
+    several = kept.filter(F.col(copies) > 1).drop(copies)  # the same exchange as below; only these rows go on to another
+    row, order = F.struct(*map(quoted, rest)), F.struct(*(quoted(c) for c in rest if orderable(docs.schema[c].dataType)))
+    one = several.groupBy("doc_id", "text").agg(F.min_by(row, order).alias(copies)) if rest else several.distinct()
+    one = one.select(*(F.col(f"{quoted(copies)}.{quoted(c)}").alias(c) if c in rest else F.col(quoted(c)) for c in docs.columns))
+    return kept.filter(F.col(copies) == 1).drop(copies).unionByName(one)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +59,12 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with the words of each that it takes, repeats counted. Columns of these names
-    that the documents have themselves give way.
+    that the documents have themselves are renamed, with underscores behind.
     """
     own = {k: k for k in ("size", "source_size", "target", "taken")}
-    docs = docs.select([f"`{c}`" for c in docs.columns if c.lower() not in own])
+    for c in docs.columns:
+        if c.lower() in own:
+            docs = docs.withColumnRenamed(c, unused(docs, c + "_"))
     return joined(docs, mixing.mix(docs).filter("taken > 0"), "inner", own)
 
 
