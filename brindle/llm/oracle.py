@@ -120,4 +120,15 @@ book AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, en
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM code JOIN e USING (vec_id), book
 """
 
-ORACLE_SQL = {"op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op9_warc": WARC, "op10_substring": SUBSTRING, "op12_codes": CODES, "op13_ranking": RANKING}
+#: Sums go from the first component to the last, as the operator's do, so that scores are equal to the last bit.
+NEAREST = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+m AS (SELECT vec_id, v, list_max(list_transform(v, lambda x: abs(x))) AS m FROM e),
+s AS (SELECT vec_id, list_transform(v, lambda x: x / m) AS v FROM m WHERE m > 0),
+n AS (SELECT vec_id, v, list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b) AS n FROM s),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]), lambda a, b: a + b) / sqrt(q.n * c.n) AS score
+      FROM n q JOIN n c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM p QUALIFY rank <= 5
+"""
+
+ORACLE_SQL = {"op6_nearest": NEAREST, "op1_suffix": SUFFIX, "op4_decontaminate": DECONTAMINATE, "op7_neardup": NEARDUP, "op9_warc": WARC, "op10_substring": SUBSTRING, "op12_codes": CODES, "op13_ranking": RANKING}

@@ -36,7 +36,7 @@ KEY = re.compile(r"([^\W\d_][\w.-]{0,39})[\x20\t]{0,2}([:=]{1,2})[\x20\t]{0,2}[\
 #: A string of letters and digits mixed that is long enough to be a secret: a seed of a kind of its own.
 SECRET, MAX_SECRET = re.compile(r"(?=[^0-9]*[0-9][^0-9]*[0-9][^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z][^A-Za-z]*[A-Za-z][^A-Za-z]*[A-Za-z])[A-Za-z0-9_-]{20,}"), 256
 #: Ways in which a card's digits stand in groups.
-GROUPS = re.compile(r"[0-9]{14,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?")
+GROUPS = re.compile(r"[0-9]{14,19}(?![0-9])|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])(?:\1[0-9]{1,3}(?![0-9]))?")
 #: A context is a pattern once so many different seeds share it; one this precise discovers.
 MIN_SUPPORT, MIN_SCORE, ROUNDS = 3, 0.8, 3
 

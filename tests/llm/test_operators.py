@@ -260,6 +260,14 @@ def test_nearest(spark):
     assert [(r["rank"], r.vec_id, r.score) for r in ann.nearest(few, few.filter("vec_id = 0")).orderBy("rank").collect()] == [(1, 1, 1.0), (2, 2, -1.0)]
 
 
+def test_nearest_deals_tiles_to_as_many_keys_as_there_are(spark):
+    """Keys grow with both sides, blocks are int8, and no vectors as doubles go through the join of tiles."""
+    assert ann.grid(0, 0) == (1, 1) and ann.grid(10**6, 10**9) == (245, 15259)
+    df = spark.range(300).selectExpr("id as vec_id", "array(double(id + 1), 1D) as embedding")
+    block = ann.blocks(ann.usable(df), 100, "c")
+    assert max(len(r.c) / 2 for r in block.collect()) <= 100 and sum(len(r.c) for r in block.collect()) == 600
+
+
 @pytest.mark.parametrize("rows,heaps", [(4096, 100_000), (16, 100_000), (16, 1)])
 def test_nearest_counts_repeated_ids_once(spark, monkeypatch, rows, heaps):
     """Rows that repeat, ids with several vectors, and ties, in one tile and in many."""
@@ -464,11 +472,37 @@ def test_pipeline(spark, docs, none):
         assert df.columns == docs.columns
     mix = stage["mixing"](spark, docs, SF)
     taken = {(r.doc_id, r.text_hash): r.taken for r in mixing.mix(docs).collect()}
-    assert mix.columns == ["doc_id", "text", "source", "text_hash", "kept", "spans", "of", "size", "source_size", "target", "taken"]
+    assert mix.columns == ["doc_id", "text", "source", "text_hash", "kept", "spans", "target_", "of", "size", "source_size", "target", "taken"]
     assert texts(mix) == sorted(((r.doc_id, r.text) for r in docs.withColumn("h", F.xxhash64("text")).collect() if taken[r.doc_id, r.h]), key=repr)
     assert all(r.source == source[r.doc_id] and r["size"] == len(words(r.text)) for r in mix.collect())
+    assert {r.target_ for r in mix.collect()} == {"own"}
     for f in stage.values():
         assert f(spark, none, SF).count() == 0
+    # of repeated rows that differ elsewhere, the first by their other columns, however they are dealt
+    again = docs.filter("doc_id = 9").withColumn("of", F.expr("int(monotonically_increasing_id() % 7) + 3")).withColumn("source", F.when(F.col("of") > 3, F.col("source")))
+    both = docs.unionByName(again)
+    first = min(((r.source is not None, r.source or "", r.of) for r in both.filter("doc_id = 9").collect()))
+    for n in (1, 5):
+        got = stage["near_dedup"](spark, both.repartition(n), SF)
+        assert texts(got) == sorted(near(ROWS), key=repr) and [(r.source is not None, r.source or "", r.of) for r in got.filter("doc_id = 9").collect()] == [first]
+
+
+def test_pipeline_of_odd_rows(spark, docs, none, tmp_path):
+    """Whole runs: on rows with nulls, repeats and clashing names, without labels or benchmark, and on no rows."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"odd/{name}.parquet"))
+    docs.write.parquet(str(tmp_path / "odd/documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd"))
+    assert got.columns == [*docs.columns, "size", "source_size", "target", "taken"]
+    # without labels all score 0.5 and stay; nothing is personal; each source's words are below what it may give
+    left = {(i, t) for i, t in near(ROWS)}
+    assert {(r.doc_id, r.text) for r in got.collect()} <= left and {r.text_hash for r in got.collect()} <= {"clash"}
+    sizes = {i: len(words(t)) for i, t in left}
+    assert all(r["size"] == sizes[r.doc_id] and 0 < r.taken <= 2 * r["size"] for r in got.collect()) and got.count() > 0
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"none/{name}.parquet"))
+    none.write.parquet(str(tmp_path / "none/documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_pipeline_whole(spark):
