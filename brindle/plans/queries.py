@@ -6,9 +6,10 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from brindle.functions import lower_columns
-from brindle.operators import asof_join, bounded, column_list, estimates, interval_join, merged_sketches, period_sketches, preview, rolling, row_count, schema_report, sessions
+from brindle.functions import extract, lower_columns
+from brindle.operators import asof_join, bounded, column_list, cube_sets, estimates, interval_join, merged_sketches, period_sketches, preview, rolling, row_count, schema_report, sessions, subtotals
 from brindle.operators.sketches import RANK_ERROR
 from brindle.sources import TableSpec, read_partitions, read_table, replace_partitions
 from brindle.sources.shared import shared_path
@@ -110,6 +111,24 @@ def rewritten_orders(spark: SparkSession, d: str) -> DataFrame:
     return read_partitions(spark, path, orders.schema, by)
 
 
+def line_subtotals(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and cents of lineitem by priority and status of the order and return flag, over all sets of these; a flag of
+    R counts as null.
+    """
+    lines = table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("flag"), "l_extendedprice")
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    by = ["priority", "status", "flag"]
+    return subtotals(lines.join(orders, lines.l_orderkey == orders.o_orderkey), by, cube_sets(by), {"lines": ("count", "1"), "cents": ("sum", "cast(round(l_extendedprice * 100) as bigint)"), "most": ("max", "l_extendedprice")})
+
+
+def event_props(spark: SparkSession, d: str) -> DataFrame:
+    """The number in each event's properties, of which some are broken first: cut off, put into an array, made a text."""
+    p = F.col("props")
+    broken = F.when(F.col("event_id") % 7 == 1, F.substring(p, 1, 4)).when(F.col("event_id") % 7 == 2, F.concat(F.lit("["), p, F.lit("]"))).when(F.col("event_id") % 7 == 3, F.lit('{"k": "x"}')).when(F.col("event_id") % 7 == 4, F.lit(None).cast("string")).otherwise(p)
+    events = table(spark, d, "events").select("event_id", "event_type", broken.alias("props"))
+    return extract(events, "props", T.StructType([T.StructField("k", T.IntegerType())])).drop("props")
+
+
 QUERIES = {
     "scan_full": lambda s, d: table(s, d, "nation"),
     "scan_limit_topk": _part50,
@@ -135,6 +154,8 @@ QUERIES = {
     "stream_windows": stream_windows,
     "sketched_weeks": sketched_weeks,
     "rewritten_orders": rewritten_orders,
+    "line_subtotals": line_subtotals,
+    "event_props": event_props,
 }
 
 _PART50 = "SELECT * FROM part ORDER BY p_partkey LIMIT 50"
@@ -187,4 +208,12 @@ ORACLE_SQL = {
         FROM events GROUP BY ALL""",
     "sketched_weeks": "SELECT date_trunc('week', ts) AS week, event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS median_holds FROM events GROUP BY ALL",
     "rewritten_orders": "SELECT *, CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_orderstatus = 'O' THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS cents FROM orders",
+    "line_subtotals": """
+        SELECT o_orderpriority AS priority, o_orderstatus AS status, nullif(l_returnflag, 'R') AS flag, GROUPING_ID(o_orderpriority, o_orderstatus, nullif(l_returnflag, 'R')) AS grouping_id,
+               count(*) AS lines, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents, max(l_extendedprice) AS most
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY CUBE (o_orderpriority, o_orderstatus, nullif(l_returnflag, 'R'))""",
+    "event_props": """
+        SELECT event_id, event_type, CASE WHEN event_id % 7 NOT IN (1, 2, 3, 4) THEN CAST(json_extract(props, '$.k') AS INT) END AS k,
+               CASE event_id % 7 WHEN 1 THEN 'malformed' WHEN 2 THEN 'not an object' WHEN 3 THEN 'wrong type' END AS json_error
+        FROM events""",
 }

@@ -1,4 +1,5 @@
+from brindle.sources.local import from_pandas, to_pandas
 from brindle.sources.sinks import read_partitions, replace_partitions
 from brindle.sources.tables import TableSpec, qualified_name, read_table, warehouse_spec
 
-__all__ = ["TableSpec", "qualified_name", "read_partitions", "read_table", "replace_partitions", "warehouse_spec"]
+__all__ = ["TableSpec", "from_pandas", "qualified_name", "read_partitions", "read_table", "replace_partitions", "to_pandas", "warehouse_spec"]
