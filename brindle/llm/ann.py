@@ -35,8 +35,11 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, step, np.linalg.norm(x - q * step[:, None], axis=1) + 1e-6
 
 
-def blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
-    """Blocks of at most so many vectors of one width, each made int8 once: ids, hashes, steps and errors beside them."""
+def blocks(vectors: DataFrame, rows: int, name: str, copies: int | None = None) -> DataFrame:
+    """Blocks of at most so many vectors of one width, each made int8 once: ids, hashes, steps and errors beside them.
+    Of equal vectors in a block, only those with the ``copies`` smallest ids are kept: all score alike, so the others
+    come behind them for any query.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -53,6 +56,11 @@ def blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
         yield from map(packed, held.values())
 
     def packed(mine: list) -> pa.RecordBatch:
+        if copies:
+            same: dict[bytes, dict] = {}
+            for row in mine:
+                same.setdefault(row[2].tobytes(), {})[row[0]] = row
+            mine = [row for some in same.values() for _, row in sorted(some.items())[:copies]]
         ids, hashes, x = zip(*mine, strict=True)
         x = np.stack(x)
         unit = x / np.abs(x).max(1)[:, None]
@@ -126,7 +134,13 @@ def survivors(pairs: DataFrame, k: int) -> DataFrame:
         _, query = np.unique(rows[:2], axis=1, return_inverse=True)
         query = query.ravel()
         _, floor = best_lows(query, rows[2], low, k)
-        stay = high >= floor[query]
+        order = np.lexsort((rows[2], rows[3], query))  # of equal vectors, the k smallest ids for each query
+        new = np.ones(len(order), bool)
+        new[1:] = (query[order][1:] != query[order][:-1]) | (rows[3][order][1:] != rows[3][order][:-1])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        stay = np.empty(len(order), bool)
+        stay[order] = np.arange(len(order)) - start < k
+        stay &= high >= floor[query]
         return pa.RecordBatch.from_arrays([*(pa.array(x[stay]) for x in rows[:4]), pa.array(low[stay]), pa.array(high[stay])], names=["query_id", "query_h", "vec_id", "vec_h", "low", "high"])
 
     return pairs.mapInArrow(run, "query_id long, query_h long, vec_id long, vec_h long, low double, high double")
@@ -182,7 +196,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     n_q, n_c = grid(queries.count(), vectors.count())
     deal = lambda df, name, n: df.withColumn(f"{name}_group", F.pmod(F.xxhash64(f"{name}_who"), F.lit(n)))
     every = lambda name, n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias(name)
-    c = deal(blocks(c, ROWS, "c"), "c", n_c).select("*", every("q_group", n_q))
+    # one copy more, as a query's own row doesn't count
+    c = deal(blocks(c, ROWS, "c", k + 1), "c", n_c).select("*", every("q_group", n_q))
     # queries may be few in each of many partitions, and would make a block in each
     q = q.repartition(max(1, n_q * Q_BLOCKS // 4), "vec_id", "h")
     q = deal(blocks(q, QUERIES, "q"), "q", n_q).select("*", every("c_group", n_c))

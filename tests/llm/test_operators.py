@@ -268,6 +268,31 @@ def test_nearest_deals_tiles_to_as_many_keys_as_there_are(spark):
     assert max(len(r.c) / 2 for r in block.collect()) <= 100 and sum(len(r.c) for r in block.collect()) == 600
 
 
+@pytest.mark.parametrize("rows,heaps", [(4096, 100_000), (16, 1)])
+def test_nearest_among_many_copies(spark, monkeypatch, rows, heaps):
+    """A vector with very many ids: its queries get the smallest of them, and few pairs of copies are kept."""
+    monkeypatch.setattr(ann, "ROWS", rows)
+    monkeypatch.setattr(ann, "HEAPS", heaps)
+    rng = np.random.default_rng(9)
+    vecs = [(i, [1.0, 2.0, 3.0] if i % 3 else rng.normal(size=3).tolist()) for i in range(600)]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").repartition(4)
+    kept, sizes = ann.written, []
+
+    def seen(out, name):
+        out = kept(out, name)
+        sizes.append(out.count()) if name == "nearest-pairs" else None
+        return out
+
+    monkeypatch.setattr(ann, "written", seen)
+    got = ann.nearest(df, df.filter("vec_id % 20 = 0")).collect()
+    for q in range(0, 600, 20):
+        mine = [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])]
+        x = np.array([v for _, v in vecs])
+        score = np.round(ann.cosine(np.repeat(x[[q]], 600, axis=0), x), 12)
+        assert mine == [i for i in np.lexsort((np.arange(600), -score)).tolist() if i != q][:5]
+    assert sizes[0] < 30 * (100 if rows > 600 else 240)  # there are 30 * 400 pairs of copies
+
+
 @pytest.mark.parametrize("rows,heaps", [(4096, 100_000), (16, 100_000), (16, 1)])
 def test_nearest_counts_repeated_ids_once(spark, monkeypatch, rows, heaps):
     """Rows that repeat, ids with several vectors, and ties, in one tile and in many."""
