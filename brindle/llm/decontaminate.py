@@ -13,6 +13,10 @@ from brindle.llm.common import written
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: So many bytes of the benchmark's shingles or windows are broadcast; more go through a shuffled join.
 MAX_BROADCAST = 32 << 20
+#: Rows of a sieve, of 64 longs each: some 36 MB at most, however many tokens it is of.
+SIEVE_ROWS = 1 << 16
+#: A token of more places than this is dealt to several tasks, as is one of over a 100,000th of all places.
+HOT = 1 << 20
 
 
 def words(text: str) -> Column:
@@ -50,17 +54,55 @@ def shingled(base: DataFrame, single: bool, *more: str) -> DataFrame:
     return each.select("at", "n_words", *more, two.alias("token")).filter("token is not null")
 
 
-def occurrences(base: DataFrame, prefix: DataFrame, single: bool) -> DataFrame:
-    """uid, start, len and w of each place in the documents where a window's prefix stands and all its words do."""
+def cells(token: Column) -> list[Column]:
+    """The three bits of 4,096 that a token sets in its row of a sieve."""
+    return [F.shiftright(token, at).bitwiseAND(F.lit(4095)).cast("int") for at in (16, 28, 40)]
+
+
+def sieve(tokens: DataFrame) -> DataFrame:
+    """row and bits (64 longs) of a blocked Bloom filter of the tokens, SIEVE_ROWS rows at most."""
+    row = F.col("token").bitwiseAND(F.lit(SIEVE_ROWS - 1)).alias("row")
+    each = tokens.select(row, F.explode(F.array(*cells(F.col("token")))).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)))
+    longs = each.groupBy("row", F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(one).alias("bits"))
+    rows = longs.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("cell", "bits"))).alias("held"))
+    return rows.select("row", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0).cast("long"))).alias("bits"))
+
+
+def possible(each: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The rows whose token is among the tokens, and few others, without a shuffle of the rest."""
+    held = each.join(F.broadcast(sieve(tokens)), F.col("token").bitwiseAND(F.lit(SIEVE_ROWS - 1)) == F.col("row"))
+    for bit in cells(F.col("token")):
+        held = held.filter(F.call_function("bit_get", F.get("bits", F.shiftright(bit, 6)), bit.bitwiseAND(F.lit(63))) == 1)
+    return held.drop("row", "bits")
+
+
+def dealt(each: DataFrame, prefix: DataFrame) -> DataFrame:
+    """The rows of each joined to the prefixes of their token, of which frequent ones are dealt to several tasks."""
+    total = prefix.select("token", "n").distinct().agg(F.sum("n")).first()[0] or 0
+    hot = max(HOT, total // 100_000)  # so that under 100,000 tokens are
+    shares = F.ceil(F.col("n") / hot).cast("int")
+    frequent = prefix.filter(F.col("n") > hot).select("token", shares.alias("shares")).distinct()
+    each = each.join(F.broadcast(frequent), "token", "left")
+    each = each.withColumn("share", F.pmod(F.xxhash64("uid", "at"), F.coalesce("shares", F.lit(1))).cast("int")).drop("shares")
+    return each.join(prefix.withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))), ["token", "share"])
+
+
+def occurrences(base: DataFrame, prefix: DataFrame, single: bool, size: int) -> DataFrame:
+    """uid, start, len and w of each place in the documents where a window's prefix stands and all its words do. Where
+    the prefixes outgrow a broadcast, places go through a sieve of their tokens and take the words around them along.
+    """
     start = F.col("at") - F.col("offset")
     inside = (start >= 0) & (start + F.col("len") <= F.col("n_words"))
-    equal = F.array_join(F.slice("words", F.col("start") + 1, F.col("len")), " ") == F.col("w")
+    each = shingled(base, single, "uid", "words")
     if small(prefix, F.octet_length("w")):
-        tried = shingled(base, single, "uid", "words").join(F.broadcast(prefix), "token").filter(inside).withColumn("start", start)
+        tried, first = each.join(F.broadcast(prefix), "token"), F.lit(0)
     else:
-        tried = shingled(base, single, "uid").join(prefix, "token").filter(inside).select("uid", start.alias("start"), "len", "w")
-        tried = tried.join(base.select("uid", "words"), "uid")
-    return tried.filter(equal).select("uid", "start", "len", "w")
+        first = F.greatest(F.col("at") - (size - 1), F.lit(0))
+        around = possible(each, prefix.select("token").distinct()).withColumn("words", F.slice("words", first + 1, F.lit(2 * size)))
+        tried = dealt(around, prefix)
+    equal = F.array_join(F.slice("words", start - first + 1, F.col("len")), " ") == F.col("w")
+    return tried.filter(inside).filter(equal).select("uid", start.alias("start"), "len", "w")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -82,13 +124,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     vocabulary = written(tokens.select("token").distinct(), "decontaminate-tokens")
     single = not items.filter("len = 1").isEmpty()
     every = shingled(base, single)
-    known = every.join(F.broadcast(vocabulary), "token") if small(vocabulary, F.lit(8)) else every
+    known = every.join(F.broadcast(vocabulary), "token") if small(vocabulary, F.lit(8)) else possible(every, vocabulary)
     counts = known.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     # a token that no document has rules its window out
     prefix = tokens.join(counts, "token", "left").groupBy("w", "len").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "at")).alias("p"))
-    prefix = written(prefix.filter("p.n > 0").select("w", "len", F.col("p.token").alias("token"), F.col("p.at").alias("offset")), "decontaminate-prefix")
+    prefix = written(prefix.filter("p.n > 0").select("w", "len", F.col("p.token").alias("token"), F.col("p.at").alias("offset"), F.col("p.n").alias("n")), "decontaminate-prefix")
 
-    hits = occurrences(base, prefix, single)
+    hits = occurrences(base, prefix, single, window)
     hits = written(hits, "decontaminate-hits")
     spans = hits.groupBy("uid").agg(F.array_sort(F.collect_set(F.struct("start", "len"))).alias("spans"))
     named = hits.select("uid", "w").distinct().join(items.select("w", "item"), "w").groupBy("uid").agg(F.array_sort(F.collect_set("item")).alias("items"))
