@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from brindle.functions import extract, lower_columns
 from brindle.operators import asof_join, bounded, column_list, cube_sets, estimates, interval_join, merged_sketches, period_sketches, preview, rolling, row_count, schema_report, sessions, subtotals
 from brindle.operators.sketches import RANK_ERROR
-from brindle.sources import TableSpec, read_partitions, read_table, replace_partitions
+from brindle.sources import TableSpec, joined_buckets, read_partitions, read_table, replace_partitions, store_bucketed
 from brindle.sources.shared import shared_path
 from brindle.streaming import current, windowed_counts, write_updates
 
@@ -111,6 +111,14 @@ def rewritten_orders(spark: SparkSession, d: str) -> DataFrame:
     return read_partitions(spark, path, orders.schema, by)
 
 
+def bucketed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines shipped within 30 days of their order, with its date and priority: a join of two tables stored in buckets."""
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    pair = store_bucketed(orders, lines, ["l_orderkey"])
+    return joined_buckets(spark.table(pair.left), spark.table(pair.right), pair).filter("l_shipdate < o_orderdate + interval 30 days")
+
+
 def line_subtotals(spark: SparkSession, d: str) -> DataFrame:
     """Lines and cents of lineitem by priority and status of the order and return flag, over all sets of these; a flag of
     R counts as null.
@@ -154,6 +162,7 @@ QUERIES = {
     "stream_windows": stream_windows,
     "sketched_weeks": sketched_weeks,
     "rewritten_orders": rewritten_orders,
+    "bucketed_lines": bucketed_lines,
     "line_subtotals": line_subtotals,
     "event_props": event_props,
 }
@@ -208,6 +217,9 @@ ORACLE_SQL = {
         FROM events GROUP BY ALL""",
     "sketched_weeks": "SELECT date_trunc('week', ts) AS week, event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS median_holds FROM events GROUP BY ALL",
     "rewritten_orders": "SELECT *, CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_orderstatus = 'O' THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS cents FROM orders",
+    "bucketed_lines": """
+        SELECT l_orderkey, o_orderdate, o_orderpriority, l_linenumber, l_partkey, l_quantity, l_shipdate
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate + INTERVAL 30 DAYS""",
     "line_subtotals": """
         SELECT o_orderpriority AS priority, o_orderstatus AS status, nullif(l_returnflag, 'R') AS flag, GROUPING_ID(o_orderpriority, o_orderstatus, nullif(l_returnflag, 'R')) AS grouping_id,
                count(*) AS lines, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents, max(l_extendedprice) AS most
