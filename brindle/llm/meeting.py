@@ -22,6 +22,9 @@ BLOCK, BUCKET = 1 << 19, 1 << 20
 FEW = 8
 #: Different stretches of a seed beyond which its windows are compared one by one.
 MANY = 20_000
+#: Up to so many bits of the bucket blocks are cut in one step; beyond, in two of half the bits each, so that a block's
+#: rows stay as long however many buckets there are.
+DIRECT = 12
 
 #: Bits of a marked place: its whole stretch stands elsewhere; its windows must be compared; by hash, not by extension.
 WHOLE, OPEN, WIDE = 1, 2, 4
@@ -78,12 +81,12 @@ def undone(data: bytes, kind: type, n: int) -> np.ndarray:
     return np.cumsum((d >> 1) ^ -(d & 1), dtype=np.int64)
 
 
-ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), *((k, pa.binary()) for k in ("docs", *Entries._fields[1:], "refs"))])
+ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), *((k, pa.binary()) for k in ("docs", *Entries._fields[1:], "refs", "of"))])
 ROW_SQL = "bucket int, block long, n int, " + ", ".join(f"{f.name} binary" for f in list(ROW)[3:])
 
 
-ANSWER = pa.schema([("block", pa.int64()), ("n", pa.int32()), ("docs", pa.binary()), ("value", pa.binary()), ("refs", pa.binary())])
-ANSWER_SQL = "block long, n int, docs binary, value binary, refs binary"
+ANSWER = pa.schema([("block", pa.int64()), ("n", pa.int32()), ("docs", pa.binary()), ("value", pa.binary()), ("refs", pa.binary()), ("doc", pa.int32()), ("one", pa.int64())])
+ANSWER_SQL = "block long, n int, docs binary, value binary, refs binary, doc int, one long"
 
 
 def packed(bucket: int, block: int, e: Entries) -> dict:
@@ -91,23 +94,49 @@ def packed(bucket: int, block: int, e: Entries) -> dict:
     return {"bucket": bucket, "block": block, "n": len(e.ref), "docs": deltas(e.ref.astype(np.int32)), "hash": planes(e.hash), "more": planes(e.more), "value": deltas(e.value), "flag": e.flag.tobytes()}
 
 
-def unpacked(row: dict, number: int) -> Entries:
-    """The entries, each with the number of the row's block in the upper half of its ref."""
-    n = row["n"]
-    return Entries(undone(row["docs"], np.int32, n) | (number << 32), unplaned(row["hash"], np.uint64, n), unplaned(row["more"], np.uint64, n), undone(row["value"], np.int64, n), np.frombuffer(row["flag"], np.uint8))
+def repacked(bucket: int, numbers: np.ndarray, e: Entries) -> dict:
+    """A row of entries of several blocks, whose refs hold the place of the block's number in numbers in the upper half."""
+    at, of = np.unique(e.ref >> 32, return_inverse=True)
+    return packed(bucket, 0, e._replace(ref=e.ref & 0xFFFFFFFF)) | {"refs": numbers[at].tobytes(), "of": deltas(of.astype(np.int32))}
+
+
+def unpacked(row: dict, numbers: list[int]) -> Entries:
+    """The entries, each with its block's place in numbers, which grow by the row's blocks, in the upper half of its ref."""
+    n, place = row["n"], len(numbers)
+    if row["of"] is None:
+        numbers.append(row["block"])
+    else:
+        numbers += np.frombuffer(row["refs"], np.int64).tolist()
+        place = place + undone(row["of"], np.int32, n)
+    return Entries(undone(row["docs"], np.int32, n) | (place << 32), unplaned(row["hash"], np.uint64, n), unplaned(row["more"], np.uint64, n), undone(row["value"], np.int64, n), np.frombuffer(row["flag"], np.uint8))
+
+
+def cut(e: Entries, bits: int) -> Iterator[tuple[int, Entries]]:
+    """The entries of each bucket, by document and place, so that neighbours' differences are small."""
+    bucket = (e.hash >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((e.value, e.ref, bucket))
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        yield int(bucket[part[0]]), e.take(part)
+
+
+def batches_of(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_pylist(rows[at : at + 64], ROW)
 
 
 def bits_for(n: int) -> int:
     """Bits of the bucket for so many entries."""
-    return int(np.clip(np.ceil(np.log2(max(n, 1) / BUCKET)), 5, 20))
+    return int(np.clip(np.ceil(np.log2(max(n, 1) / BUCKET)), 5, 24))
 
 
 def met(df: DataFrame, found: Callable, block: Callable, judge: Callable, bits: int) -> DataFrame:
     """ref and values: of each document the values that judge or block gives.
 
     found turns Arrow batches of df into Entries, block a block's Entries into those to send and (ref, value) already
-    known, judge all Entries of a bucket into (ref, value). A bucket holds whole hashes.
+    known, judge all Entries of a bucket into (ref, value). A bucket holds whole hashes. Over DIRECT bits, blocks are
+    first cut by half the bits; what comes together there is put into new blocks, which are cut by all bits.
     """
+    first = bits if bits <= DIRECT else (bits + 1) // 2
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -125,19 +154,35 @@ def met(df: DataFrame, found: Callable, block: Callable, judge: Callable, bits:
         send, (ref, value) = block(e._replace(ref=doc.astype(np.int64)))
         # by content, so that a task that runs again gives the same
         number = int.from_bytes(hashlib.blake2b(refs.tobytes(), digest_size=8).digest(), "little", signed=True)
-        apart = (1 << bits) + number % (1 << bits)
+        apart = (1 << first) + number % (1 << first)
         out = [{"bucket": apart, "block": number, "n": len(refs), "refs": refs.tobytes()}]
         if len(ref):
             order = np.lexsort((value, ref))
             out.append(packed(apart, number, entries(ref[order], np.zeros(len(ref), np.uint64), 0, value[order], 0)))
         if len(send.ref):
-            bucket = (send.hash >> np.uint64(64 - bits)).astype(np.int64)
-            # by bucket, then document and place: neighbours' differences are small
-            order = np.lexsort((send.value, send.ref, bucket))
-            cut = np.flatnonzero(np.diff(bucket[order])) + 1
-            out += [packed(int(bucket[part[0]]), number, send.take(part)) for part in np.split(order, cut)]
-        for at in range(0, len(out), 64):
-            yield pa.RecordBatch.from_pylist(out[at : at + 64], ROW)
+            out += [packed(bucket, number, part) for bucket, part in cut(send, first)]
+        yield from batches_of(out)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """New blocks of entries that share the first bits, cut by all of them."""
+        held, numbers, n, now = [], [], 0, None
+        for b in batches:
+            for row in b.to_pylist():
+                if held and (row["bucket"] != now or n >= BLOCK):
+                    yield from anew(held, numbers)
+                    held, numbers, n = [], [], 0
+                now = row["bucket"]
+                if now >= 1 << first:
+                    yield from batches_of([row | {"bucket": (1 << bits) + row["block"] % (1 << bits)}])
+                else:
+                    held.append(unpacked(row, numbers))
+                    n += row["n"]
+        if held:
+            yield from anew(held, numbers)
+
+    def anew(held: list[Entries], numbers: list[int]) -> Iterator[pa.RecordBatch]:
+        known = np.array(numbers, np.int64)
+        yield from batches_of([repacked(bucket, known, part) for bucket, part in cut(joined(held), bits)])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Answers to each block: documents' numbers and values; and the blocks' documents as they came."""
@@ -149,45 +194,60 @@ def met(df: DataFrame, found: Callable, block: Callable, judge: Callable, bits:
                     held, numbers = [], []
                 now = row["bucket"]
                 if now >= 1 << bits:
-                    yield pa.RecordBatch.from_pylist([{k: row[k] for k in ANSWER.names}], ANSWER)
+                    yield pa.RecordBatch.from_pylist([{k: row.get(k) for k in ANSWER.names}], ANSWER)
                 else:
-                    held.append(unpacked(row, len(numbers)))
-                    numbers.append(row["block"])
+                    held.append(unpacked(row, numbers))
         if held:
             yield answers(numbers, *judge(joined(held)))
 
     def answers(numbers: list[int], ref: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        if first < bits:  # a bucket has few answers to each of very many blocks: a plain row each
+            block, doc = pa.array(np.array(numbers, np.int64)[ref >> 32]), pa.array((ref & 0xFFFFFFFF).astype(np.int32))
+            plain = {"block": block, "doc": doc, "one": pa.array(value)}
+            return pa.RecordBatch.from_arrays([plain.get(f.name, pa.nulls(len(ref), f.type)) for f in ANSWER], schema=ANSWER)
         order = np.lexsort((value, ref))
         ref, value = ref[order], value[order]
-        cut = [0, *(np.flatnonzero(np.diff(ref >> 32)) + 1).tolist(), len(ref)]
-        parts = [(numbers[int(ref[a] >> 32)], (ref[a:b] & 0xFFFFFFFF).astype(np.int32), value[a:b]) for a, b in zip(cut, cut[1:], strict=False) if b > a]
+        ends = [0, *(np.flatnonzero(np.diff(ref >> 32)) + 1).tolist(), len(ref)]
+        parts = [(numbers[int(ref[a] >> 32)], (ref[a:b] & 0xFFFFFFFF).astype(np.int32), value[a:b]) for a, b in zip(ends, ends[1:], strict=False) if b > a]
         return pa.RecordBatch.from_pylist([{"block": k, "n": len(doc), "docs": deltas(doc), "value": deltas(v)} for k, doc, v in parts], ANSWER)
 
     def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """ref and values of each document of a block that has any."""
         held, now = [], None
         for b in batches:
-            for row in b.to_pylist():
-                if row["block"] != now and held:
-                    yield from lists(held)
-                    held = []
-                now = row["block"]
-                held.append(row)
+            block = b.column(0).to_numpy()
+            ends = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for start, end in zip(ends, ends[1:], strict=False):
+                if end > start:
+                    if block[start] != now and held:
+                        yield from lists(held)
+                        held = []
+                    now = block[start]
+                    held.append(b.slice(start, end - start))
         if held:
             yield from lists(held)
 
-    def lists(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    def lists(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(held)
+        single = whole.filter(whole["doc"].is_valid())
+        rows = whole.filter(whole["doc"].is_null()).to_pylist()
         refs = next(np.frombuffer(r["refs"], np.int64) for r in rows if r["refs"] is not None)
         rows = [r for r in rows if r["refs"] is None]
-        if rows:
-            doc, value = (np.concatenate([undone(r[k], kind, r["n"]) for r in rows]) for k, kind in (("docs", np.int32), ("value", np.int64)))
+        if rows or len(single):
+            doc = np.concatenate([single["doc"].to_numpy().astype(np.int64), *(undone(r["docs"], np.int32, r["n"]) for r in rows)])
+            value = np.concatenate([single["one"].to_numpy(), *(undone(r["value"], np.int64, r["n"]) for r in rows)])
             order = np.lexsort((value, doc))
-            docs, first = np.unique(doc[order], return_index=True)
-            whole = pa.RecordBatch.from_arrays([pa.array(refs[docs]), pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(value[order]))], names=["ref", "values"])
+            docs, at = np.unique(doc[order], return_index=True)
+            out = pa.RecordBatch.from_arrays([pa.array(refs[docs]), pa.ListArray.from_arrays(pa.array(np.append(at, len(doc)).astype(np.int32)), pa.array(value[order]))], names=["ref", "values"])
             for at in range(0, len(docs), 1_000):
-                yield whole.slice(at, 1_000)
-
-    dealt = df.mapInArrow(make, ROW_SQL).repartition("bucket").sortWithinPartitions("bucket")
+                yield out.slice(at, 1_000)
+
+    dealt = df.mapInArrow(make, ROW_SQL)
+    if first < bits:
+        # some 16 new blocks to a task, so that there are as many tasks as the entries are worth
+        slices = F.pmod("block", F.lit(max(1, 1 << max(0, bits - first - 3))))
+        dealt = dealt.repartition("bucket", slices).sortWithinPartitions("bucket").mapInArrow(again, ROW_SQL)
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
     told = dealt.mapInArrow(meet, ANSWER_SQL).repartition("block").sortWithinPartitions("block")
     # a document may be in several blocks
     return told.mapInArrow(collected, "ref long, values array<long>").groupBy("ref").agg(F.flatten(F.collect_list("values")).alias("values"))
