@@ -26,6 +26,10 @@ SLACK = 0.17
 WORDS = 8
 #: Tasks over which what one component holds is dealt.
 SALTS = 16
+#: Keys of a bucket that are put in order together.
+TOGETHER = 20_000
+#: Holders of a shingle; those of a more frequent one are compared where they share a bucket, too.
+FREQUENT = 128
 
 _RNG = np.random.default_rng(20)
 FACTORS = _RNG.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -149,10 +153,11 @@ def components(links: DataFrame) -> DataFrame:
     while (now := mark(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written, as Spark splits a hub's rows in a join of tables, but not in one with an aggregate
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "near-least")
         large = both.filter(F.col("b") > F.col("a")).join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = written(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-large")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "near-least")
         small = large.join(least, "a")
         small = small.select("a", F.col("m").alias("b")).union(small.filter(F.col("b") != F.col("m")).select("b", "m"))
         edges = written(small.distinct(), "near-stars")
@@ -164,7 +169,8 @@ def apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     """bucket, key, component and main (the bucket's largest component) of the buckets of several components."""
     at = buckets.select("bucket", "key", "n").join(found, "key", "left").select("bucket", "key", "n", F.coalesce("component", "key").alias("component"))
     main = at.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    return written(at.join(main.filter("parts > 1"), "bucket").select("bucket", "key", "n", "component", "main"), "near-apart")
+    main = written(main.filter("parts > 1").select("bucket", "main"), "near-several")
+    return written(at.join(main, "bucket").select("bucket", "key", "n", "component", "main"), "near-apart")
 
 
 def prefixes(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -191,24 +197,35 @@ def prefixes(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return ordered.filter(100 * (F.col("n") - F.col("place") + 1) >= percent * F.col("n")).select("key", "n", "component", "hash", "place")
 
 
-def meeting(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that sizes, bits and places of a shared shingle don't rule out."""
+def compared(keys: DataFrame, sets: DataFrame, percent: int, buckets: DataFrame | None = None) -> DataFrame:
+    """Rows of two keys (key, other) of different components that share a shingle of their prefixes and, if that is a
+    frequent one, also one of the buckets (bucket, key): so its holders are many, but few of them are compared.
+    """
     tokens = written(prefixes(keys, sets, percent).join(sets.select("key", "bits"), "key"), "near-prefixes")
     by_part = tokens.groupBy("hash", "component").count()
-    main = by_part.groupBy("hash").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    main = by_part.groupBy("hash").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("holders")).filter("parts > 1")
     main = written(main, "near-mains")  # Spark can split a frequent shingle's rows in a join with a table
     # sets of the similarity asked for are of one range of sizes or of ranges side by side
     step = F.floor(F.log(F.col("n")) / F.lit(np.log(100 / percent) + 1e-9)).cast("int")
-    at = tokens.join(main.select("hash", "main"), "hash").withColumn("range", step)
+    every = tokens.join(main.select("hash", "main", "holders"), "hash").withColumn("range", step).withColumn("bucket", F.lit(0).cast("long"))
+    at = every
+    if buckets is not None:
+        frequent = every.filter(F.col("holders") > FREQUENT).drop("bucket").join(buckets.select("key", "bucket"), "key")
+        at = every.filter(F.col("holders") <= FREQUENT).unionByName(frequent)
     minor = at.filter("component != main").withColumn("range", F.explode(F.array(F.col("range") - 1, "range", F.col("range") + 1)))
-    minor = minor.select("hash", "range", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("place").alias("stands"), F.col("bits").alias("others"))
+    minor = minor.select("hash", "range", "bucket", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("place").alias("stands"), F.col("bits").alias("others"))
+    return at.join(minor, ["hash", "range", "bucket"]).filter(F.col("component") != F.col("of"))
+
+
+def meeting(keys: DataFrame, sets: DataFrame, percent: int, buckets: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of different components that sizes, bits and places of a shared shingle don't rule out."""
     alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
     both = F.col("n") + F.col("size")
     # of the first shingle that two sets share: what they share is no more than it and what follows
     shared = F.least(F.col("n") - F.col("place"), F.col("size") - F.col("stands")) + 1
     differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("others")[i])) for i in range(WORDS)), F.lit(0))
     enough = ((100 + percent) * shared >= percent * both) & ((100 + percent) * (both - differ) >= 2 * percent * both)
-    return at.join(minor, ["hash", "range"]).filter((F.col("component") != F.col("of")) & alike & enough).select(*pair("key", "other")).distinct()
+    return compared(keys, sets, percent, buckets).filter(alike & enough).select(*pair("key", "other")).distinct()
 
 
 def pair(x: str, y: str) -> list:
@@ -221,8 +238,8 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     Documents are linked where their sets of shingles share so many hundredths of their union; component_id is the
     smallest doc_id that links reach. Documents of one set are one class from the start. In each bucket of a band
     every class is paired with a few others. Classes whose bucket still holds several components are then joined on
-    their rarest shingles, under bounds of size, place and parity bits, and compared in full: no link between components
-    of one bucket is lost, and no group is paired throughout. Two classes that share no bucket aren't compared; at a
+    their rarest shingles (and on the bucket, where a shingle has over FREQUENT holders), under bounds of size, place and
+    parity bits, and compared in full: no link between components of one bucket is lost, and no group is paired throughout. Two classes that share no bucket aren't compared; at a
     similarity of 0.75 that befalls a pair once in 4e7.
     Texts without words, null ones too, have no shingles and stand alone. Null ids are passed over when the smallest
     is sought; repeated rows share a component and are all kept if one is; an empty table gives no rows. Further
@@ -231,16 +248,18 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64("doc_id", "text").alias("ref"), "text")
     each = sketched(docs)
     classes = each.filter("registers is not null").groupBy("key").agg(F.min(F.struct("ref", "n", "registers", "bands")).alias("x")).select("key", "x.*")
-    buckets = classes.select("key", "n", "ref", F.posexplode("bands").alias("band", "hash"))
-    w = Window.partitionBy("band", "hash")
-    buckets = buckets.withColumn("first", F.min("key").over(w)).withColumn("last", F.max("key").over(w)).filter("first != last")
-    buckets = written(buckets.select(F.xxhash64("band", "hash").alias("bucket"), "key", "n", "ref", "first"), "near-buckets")
+    classes = written(classes, "near-every")
+    buckets = classes.select("key", "n", "ref", F.posexplode("bands").alias("band", "hash")).select(F.xxhash64("band", "hash").alias("bucket"), "key", "n", "ref")
+    shared = buckets.groupBy("bucket").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+    # a bucket of very many keys is put in order by parts
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("held") / TOGETHER)).alias("part")
+    buckets = written(buckets.join(written(shared, "near-shared"), "bucket").select("bucket", "key", "n", "ref", "first", part), "near-buckets")
     near = buckets.select("key", "ref").distinct()
     classes = written(classes.select("key", "n", "registers").join(near.select("key"), "key", "left_semi"), "near-classes")
     sets = sets_of(docs, near)
 
     # in each bucket, of however many classes: with the first of all, and with the one before in order of keys
-    before = F.lag("key").over(Window.partitionBy("bucket").orderBy("key"))
+    before = F.lag("key").over(Window.partitionBy("bucket", "part").orderBy("key"))
     tried = buckets.withColumn("before", before).select("key", F.explode(F.array("first", "before")).alias("other")).filter("key != other").select(*pair("key", "other")).distinct()
     links = verified(tried, classes, sets, percent)
     found = components(links)
@@ -251,14 +270,14 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         # a few of the largest component for each class outside it, others in each round
         order = F.struct(F.xxhash64("key", F.lit(k)), "key")
         some = at.filter("component = main").groupBy("bucket").agg(F.array(F.min(order), F.max(order)).alias("some"))
-        few = at.filter("component != main").join(some, "bucket").select("key", F.explode("some").alias("x")).select("key", F.col("x.key").alias("other"))
+        few = at.filter("component != main").join(written(some, "near-some"), "bucket").select("key", F.explode("some").alias("x")).select("key", F.col("x.key").alias("other"))
         more = verified(few.select(*pair("key", "other")).distinct(), classes, sets, percent)
         links = found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more)
         found = components(links)
     # what is left, across components: the pairs of a bucket's keys whose rarest shingles meet, so no link is lost
     at = apart(buckets, found)
     if not at.isEmpty():
-        rest = meeting(at.select("key", "n", "component").distinct(), sets, percent)
+        rest = meeting(at.select("key", "n", "component").distinct(), sets, percent, at)
         more = verified(rest, classes, sets, percent, estimate=False)
         found = components(found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more))
 

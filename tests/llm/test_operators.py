@@ -144,6 +144,41 @@ def test_meeting_loses_no_pair(spark):
     assert close and close <= got and len(got) < 60 * 59 / 2
 
 
+def test_holders_of_a_frequent_shingle_are_compared_by_bucket(spark, monkeypatch):
+    """Sets that share a line and otherwise a bucket in fives: the rows that are compared grow as the sets do, and the
+    pairs that meet are those of a plain join where they share a bucket.
+    """
+    monkeypatch.setattr(neardup, "FREQUENT", 16)
+    rng = np.random.default_rng(9)
+    line = rng.integers(0, 1 << 63, 10, np.uint64)
+    counts = []
+    for fives in (20, 40):
+        sets, buckets = {}, []
+        for f in range(fives):
+            base = rng.integers(0, 1 << 63, 40, np.uint64)
+            for i in range(5):
+                key = bytes([f, i])
+                sets[key] = np.unique(np.concatenate([line, base[i:]]))
+                buckets.append((f, key))
+        keys = spark.createDataFrame([(k, len(h), k) for k, h in sets.items()], "key binary, n long, component binary")
+        table = spark.createDataFrame([(k, h.tobytes(), neardup.parities(h).tolist()) for k, h in sets.items()], "key binary, set binary, bits array<long>")
+        by = spark.createDataFrame(buckets, "bucket long, key binary")
+        counts.append(neardup.compared(keys, table, 75, by).select("key", "other").distinct().count())
+        got = {(bytes(r.a), bytes(r.b)) for r in neardup.meeting(keys, table, 75, by).collect()}
+        assert got >= {(a, b) for a in sets for b in sets if a < b and a[0] == b[0]}
+    assert counts[1] <= 2.1 * counts[0]
+
+
+def test_groups_with_split_buckets_are_the_same(spark, monkeypatch):
+    base = [f"t{i}" for i in range(400)]
+    rows = [(k, " ".join(base[k * 6 : k * 6 + 100])) for k in range(40)] + [(100 + k, " ".join([*base[:90], f"x{k}", f"y{k}"])) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, neardup.groups(docs).collect()))
+    monkeypatch.setattr(neardup, "TOGETHER", 3)
+    monkeypatch.setattr(neardup, "FREQUENT", 2)
+    assert sorted(map(tuple, neardup.groups(docs).collect())) == want
+
+
 def test_likelihood_estimates_similarity():
     rng = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.8):
