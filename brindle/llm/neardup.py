@@ -28,7 +28,7 @@ WORDS = 8
 SALTS = 16
 #: Keys of a bucket that are put in order together.
 TOGETHER = 20_000
-#: Holders of a shingle; those of a more frequent one are compared where they share a bucket, too.
+#: Classes of a bucket's lesser components that one task compares with the others; more are dealt to several tasks.
 FREQUENT = 128
 
 _RNG = np.random.default_rng(20)
@@ -173,9 +173,9 @@ def apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return written(at.join(main, "bucket").select("bucket", "key", "n", "component", "main"), "near-apart")
 
 
-def prefixes(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """key, n, component, hash and place of each set's rarest shingles: so many that two sets of the similarity asked
-    for must share one. Shingles of one set alone come first of all and are left out.
+def answered(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The keys (key, n, component) of which other components hold so many hundredths of the shingles, with that number:
+    a link to another component shares no fewer.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,46 +185,47 @@ def prefixes(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for base in range(0, len(h), 50_000):
                     part = h[base : base + 50_000]
                     one = pa.array(np.full(len(part), i))
-                    yield pa.RecordBatch.from_arrays([*(column(b, c).take(one) for c in ("key", "n", "component")), pa.array(part)], names=["key", "n", "component", "hash"])
+                    yield pa.RecordBatch.from_arrays([*(column(b, c).take(one) for c in ("key", "of")), pa.array(part)], names=["key", "of", "hash"])
 
-    every = keys.join(sets, "key").select("key", "n", "component", "set")
-    every = written(every.mapInArrow(run, "key binary, n long, component binary, hash long"), "near-shingles")
-    common = every.groupBy("hash").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    mine = Window.partitionBy("key")
-    place = F.row_number().over(mine.orderBy("df", "hash")) + F.col("n") - F.count(F.lit(1)).over(mine)
-    ordered = every.join(common, "hash").withColumn("place", place)
-    # sets share at least ceil(percent / 100 of the larger's size), so one of the first n + 1 less that
-    return ordered.filter(100 * (F.col("n") - F.col("place") + 1) >= percent * F.col("n")).select("key", "n", "component", "hash", "place")
+    every = keys.join(sets, "key").select("key", F.xxhash64("component").alias("of"), "set")
+    every = written(every.mapInArrow(run, "key binary, of long, hash long"), "near-shingles")
+    several = every.groupBy("hash").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least < most").select("hash")
+    # written, so that Spark can split a frequent shingle's rows
+    held = every.join(written(several, "near-common"), "hash").groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    return written(keys.join(held, "key").filter(100 * F.col("held") >= percent * F.col("n")).select("key", "n", "component", "held"), "near-answered")
 
 
 def compared(keys: DataFrame, sets: DataFrame, percent: int, buckets: DataFrame | None = None) -> DataFrame:
-    """Rows of two keys (key, other) of different components that share a shingle of their prefixes and, if that is a
-    frequent one, also one of the buckets (bucket, key): so its holders are many, but few of them are compared.
+    """Rows of two keys (key, other) of different components that share one of the buckets (bucket, key; if None, all
+    do) and are of neighbouring sizes. What can't be linked to another component is left out before.
     """
-    tokens = written(prefixes(keys, sets, percent).join(sets.select("key", "bits"), "key"), "near-prefixes")
-    by_part = tokens.groupBy("hash", "component").count()
-    main = by_part.groupBy("hash").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("count").alias("holders")).filter("parts > 1")
-    main = written(main, "near-mains")  # Spark can split a frequent shingle's rows in a join with a table
+    some = answered(keys, sets, percent)
+    rows = some.withColumn("bucket", F.lit(0).cast("long")) if buckets is None else some.join(buckets.select("key", "bucket"), "key")
     # sets of the similarity asked for are of one range of sizes or of ranges side by side
     step = F.floor(F.log(F.col("n")) / F.lit(np.log(100 / percent) + 1e-9)).cast("int")
-    every = tokens.join(main.select("hash", "main", "holders"), "hash").withColumn("range", step).withColumn("bucket", F.lit(0).cast("long"))
-    at = every
-    if buckets is not None:
-        frequent = every.filter(F.col("holders") > FREQUENT).drop("bucket").join(buckets.select("key", "bucket"), "key")
-        at = every.filter(F.col("holders") <= FREQUENT).unionByName(frequent)
-    minor = at.filter("component != main").withColumn("range", F.explode(F.array(F.col("range") - 1, "range", F.col("range") + 1)))
-    minor = minor.select("hash", "range", "bucket", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("place").alias("stands"), F.col("bits").alias("others"))
-    return at.join(minor, ["hash", "range", "bucket"]).filter(F.col("component") != F.col("of"))
+    rows = written(rows.withColumn("range", step), "near-open")
+    by_part = rows.groupBy("bucket", "component").count()
+    main = by_part.groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    rows = rows.join(written(main.select("bucket", "main"), "near-mains"), "bucket").join(sets.select("key", "bits"), "key")
+    rows = written(rows, "near-open-bits")
+    minor = rows.filter("component != main").withColumn("range", F.explode(F.array(F.col("range") - 1, "range", F.col("range") + 1)))
+    # what a bucket holds outside its main component is dealt to several tasks, to each of which the others go
+    dealt = written(minor.groupBy("bucket", "range").agg(F.ceil(F.count(F.lit(1)) / FREQUENT).alias("parts")), "near-parts")
+    minor = minor.join(dealt, ["bucket", "range"]).withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
+    minor = minor.select("bucket", "range", "part", F.col("key").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"), F.col("held").alias("helds"), F.col("bits").alias("others"))
+    each = rows.join(dealt, ["bucket", "range"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return each.join(minor, ["bucket", "range", "part"]).filter(F.col("component") != F.col("of"))
 
 
 def meeting(keys: DataFrame, sets: DataFrame, percent: int, buckets: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of different components that sizes, bits and places of a shared shingle don't rule out."""
+    """Pairs (a, b) of different components that share a bucket and whose sizes, shingles held elsewhere and bits don't rule
+    them out.
+    """
     alike = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
     both = F.col("n") + F.col("size")
-    # of the first shingle that two sets share: what they share is no more than it and what follows
-    shared = F.least(F.col("n") - F.col("place"), F.col("size") - F.col("stands")) + 1
     differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("others")[i])) for i in range(WORDS)), F.lit(0))
-    enough = ((100 + percent) * shared >= percent * both) & ((100 + percent) * (both - differ) >= 2 * percent * both)
+    # what they share is no more than what other components hold of either
+    enough = ((100 + percent) * F.least("held", "helds") >= percent * both) & ((100 + percent) * (both - differ) >= 2 * percent * both)
     return compared(keys, sets, percent, buckets).filter(alike & enough).select(*pair("key", "other")).distinct()
 
 
@@ -237,9 +238,9 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Documents are linked where their sets of shingles share so many hundredths of their union; component_id is the
     smallest doc_id that links reach. Documents of one set are one class from the start. In each bucket of a band
-    every class is paired with a few others. Classes whose bucket still holds several components are then joined on
-    their rarest shingles (and on the bucket, where a shingle has over FREQUENT holders), under bounds of size, place and
-    parity bits, and compared in full: no link between components of one bucket is lost, and no group is paired throughout. Two classes that share no bucket aren't compared; at a
+    every class is paired with a few others. Classes whose bucket still holds several components, and of whose shingles
+    other components hold enough, are then compared with all others of the bucket under bounds of size and parity bits,
+    and what is left in full: no link between components of one bucket is lost. Two classes that share no bucket aren't compared; at a
     similarity of 0.75 that befalls a pair once in 4e7.
     Texts without words, null ones too, have no shingles and stand alone. Null ids are passed over when the smallest
     is sought; repeated rows share a component and are all kept if one is; an empty table gives no rows. Further
@@ -274,7 +275,7 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
         more = verified(few.select(*pair("key", "other")).distinct(), classes, sets, percent)
         links = found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(more)
         found = components(links)
-    # what is left, across components: the pairs of a bucket's keys whose rarest shingles meet, so no link is lost
+    # what is left, across components: the pairs of a bucket's keys that no bound rules out, so no link is lost
     at = apart(buckets, found)
     if not at.isEmpty():
         rest = meeting(at.select("key", "n", "component").distinct(), sets, percent, at)

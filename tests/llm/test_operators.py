@@ -169,6 +169,25 @@ def test_holders_of_a_frequent_shingle_are_compared_by_bucket(spark, monkeypatch
     assert counts[1] <= 2.1 * counts[0]
 
 
+def test_a_pair_meets_once_in_a_bucket(spark):
+    """Edited copies of one text, each a component, in the same buckets: however many shingles two of them share, they are
+    compared once in each; sets of which others hold too little aren't compared.
+    """
+    rng = np.random.default_rng(10)
+    base = rng.integers(0, 1 << 63, 100, np.uint64)
+    own = lambda n: rng.integers(0, 1 << 63, n, np.uint64)
+    sets = {bytes([0, i]): np.unique(np.concatenate([rng.permutation(base)[:95], own(5)])) for i in range(40)}
+    odd = {bytes([1, i]): np.unique(np.concatenate([base[:60], own(40)])) for i in range(40)}
+    many = 10
+    by = spark.createDataFrame([(b, k) for k in (sets | odd) for b in range(many)], "bucket long, key binary")
+    keys = spark.createDataFrame([(k, len(h), k) for k, h in (sets | odd).items()], "key binary, n long, component binary")
+    table = spark.createDataFrame([(k, h.tobytes(), neardup.parities(h).tolist()) for k, h in (sets | odd).items()], "key binary, set binary, bits array<long>")
+    rows = [(bytes(r.key), bytes(r.other)) for r in neardup.compared(keys, table, 75, by).select("key", "other").collect()]
+    assert {k for r in rows for k in r} == set(sets) and len(rows) <= many * len(sets) ** 2
+    got = {(bytes(r.a), bytes(r.b)) for r in neardup.meeting(keys, table, 75, by).collect()}
+    assert got >= {(a, b) for a in sets for b in sets if a < b and 100 * (both := len(np.intersect1d(sets[a], sets[b]))) >= 75 * (len(sets[a]) + len(sets[b]) - both)} != set()
+
+
 def test_groups_with_split_buckets_are_the_same(spark, monkeypatch):
     base = [f"t{i}" for i in range(400)]
     rows = [(k, " ".join(base[k * 6 : k * 6 + 100])) for k in range(40)] + [(100 + k, " ".join([*base[:90], f"x{k}", f"y{k}"])) for k in range(30)]
