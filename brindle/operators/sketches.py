@@ -29,6 +29,14 @@ def period_sketches(df: DataFrame, time: str, period: str, by: Sequence[str], di
     return df.groupBy(at, *(F.col(quoted(b)) for b in by)).agg(F.count(F.lit(1)).alias("n"), *counts, *ranks)
 
 
+def period_values(df: DataFrame, time: str, period: str, by: Sequence[str], column: str) -> DataFrame:
+    """period_start, by, and each value that ``column`` has there, once: what exact counts over any periods need, however
+    many values there are. Nulls are left out.
+    """
+    at = F.date_trunc(period, F.col(quoted(time)).cast("timestamp")).cast("timestamp_ntz").alias("period_start")
+    return df.filter(F.col(quoted(column)).isNotNull()).select(at, *(F.col(quoted(b)) for b in by), F.col(quoted(column))).distinct()
+
+
 def merged_sketches(stored: DataFrame, by: Sequence[str], distinct: Sequence[str], quantiles: Sequence[str]) -> DataFrame:
     """The sketches of all stored rows that have the same ``by``: what the rows themselves together would have given, but
     for the errors stated above. Merging again, in any order, is allowed.

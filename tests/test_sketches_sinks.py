@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators import estimates, merged_sketches, period_sketches
 from brindle.operators.sketches import LOG_ENTRIES, QUANTILE_K, RANK_ERROR
+from brindle.plans.queries import sketched_weeks
 from brindle.sources import read_partitions, replace_partitions
 
 
@@ -97,3 +98,14 @@ def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "t" / "p=hot").glob("*.parquet"))) > 2
+
+
+def test_weeks_count_many_users_exactly(spark, tmp_path):
+    """More users than a sketch holds, and null weeks, kinds, users and values."""
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 14 as int)) as ts", "id % 15000 as user_id", "'a' as event_type", "cast(id as double) as value")
+    odd = spark.createDataFrame([(None, 1, "a", 1.0), (None, None, None, None), (None, 2, None, None)], "ts timestamp_ntz, user_id long, event_type string, value double")
+    rows.unionByName(odd).write.parquet(str(tmp_path / "events.parquet"))
+    got = {(r.week and r.week.day, r.event_type): (r.n, r.users, r.median_holds) for r in sketched_weeks(spark, str(tmp_path)).collect()}
+    week = lambda k: len({i % 15_000 for i in range(40_000) if i % 14 // 7 == k})
+    assert week(0) > 2**LOG_ENTRIES
+    assert got == {(1, "a"): (20_001, week(0), True), (8, "a"): (19_999, week(1), True), (None, "a"): (1, 1, True), (None, None): (2, 1, True)}
